@@ -1,5 +1,6 @@
 """Readers, writers and stage tables."""
 
+from hearthline.sources import lookups
 from hearthline.sources.listings import (
     RAW_TEXT_KEPT,
     raw_types,
@@ -18,7 +19,7 @@ from hearthline.sources.lookups import (
 from hearthline.sources.stages import shared_folder, stage
 
 __all__ = [
-    "RAW_TEXT_KEPT", "first_per_key", "raw_types", "read_commune_stats", "read_listings_csv",
+    "RAW_TEXT_KEPT", "first_per_key", "lookups", "raw_types", "read_commune_stats", "read_listings_csv",
     "read_postal_map", "read_table", "shared_folder", "stage", "tidy_commune_stats",
     "tidy_postal_map", "with_row_order", "write_table",
 ]

@@ -104,7 +104,13 @@ def write_table(
         df = df.orderBy(order_col).drop(order_col)
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+        writer.options(
+            header=True,
+            escape='"',
+            encoding="UTF-8",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        ).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
