@@ -226,7 +226,7 @@ def first_per_key(spark, sf):
 
 
 def price_filter_p99(spark, sf):
-    priced = prices.remove_invalid_price(src.stage(listings(spark, sf), "listings"))
+    priced = prices.remove_invalid_price(listings(spark, sf))
     return priced.select(ID, "price")
 
 
@@ -335,7 +335,7 @@ def training_split_sizes(spark, sf):
 
 
 def _split(spark, sf):
-    return split_train_test(src.stage(listings(spark, sf), "listings"), ID)
+    return split_train_test(listings(spark, sf), ID)
 
 
 def exact_split(spark, sf):
@@ -347,13 +347,13 @@ def encoder_folds(spark, sf):
 
 
 def median_impute(spark, sf):
-    df = src.stage(listings(spark, sf).select(ID, *NUMBERS), "numbers")
+    df = listings(spark, sf).select(ID, *NUMBERS)
     filled = encoders.MedianImputer(inputCols=list(NUMBERS)).fit(df).transform(df)
     return filled.select(ID, *[f"num_{c}" for c in NUMBERS])
 
 
 def standardise(spark, sf):
-    df = src.stage(listings(spark, sf).select(ID, *NUMBERS), "numbers")
+    df = listings(spark, sf).select(ID, *NUMBERS)
     filled = encoders.MedianImputer(inputCols=list(NUMBERS)).fit(df).transform(df)
     names = [f"num_{c}" for c in NUMBERS]
     scaled = encoders.Standardizer(inputCols=names).fit(filled).transform(filled)
@@ -444,7 +444,7 @@ def target_encode_new(spark, sf):
 
 def _group_mean_predictions(spark, sf):
     """Each price predicted by the mean price of its category in the train rows."""
-    df = prices.remove_invalid_price(src.stage(listings(spark, sf), "listings"))
+    df = prices.remove_invalid_price(listings(spark, sf))
     df = src.stage(
         df.select(ID, "price", F.coalesce("category", F.lit(S.UNKNOWN)).alias("category")),
         "priced",

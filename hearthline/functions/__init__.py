@@ -7,6 +7,7 @@ from hearthline.functions.missing import (
     is_true,
     keep_unless_in,
     nan_to_null,
+    nans_to_nulls,
     null_if,
     present,
 )
@@ -15,6 +16,6 @@ from hearthline.functions.text import canonical_code, collapse_spaces, normalise
 
 __all__ = [
     "at_least", "canonical_code", "canonical_number", "collapse_spaces", "completeness", "euros",
-    "is_true", "keep_unless_in", "nan_to_null", "normalised", "null_if", "parse_number",
+    "is_true", "keep_unless_in", "nan_to_null", "nans_to_nulls", "normalised", "null_if", "parse_number",
     "posted_at", "present", "to_number", "trimmed",
 ]

@@ -14,6 +14,14 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def nans_to_nulls(df: DataFrame) -> DataFrame:
+    """Every floating column with null in place of NaN."""
+    floating = [
+        f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    ]
+    return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floating}) if floating else df
+
+
 def null_if(c: Column, value) -> Column:
     return F.when(~c.eqNullSafe(F.lit(value)), c)
 

@@ -6,15 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every Unicode space plus the four ASCII separator controls.
-_SPACE = r"[\s\x1c-\x1f]"
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def collapse_spaces(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U){_SPACE}+", " ")
+    return F.regexp_replace(c, f"[{_SPACES}]+", " ")
 
 
 def normalised(c: Column) -> Column:
