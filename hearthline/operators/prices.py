@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.functions import is_true, to_number
 from hearthline.operators.quantiles import exact_quantiles
@@ -37,8 +38,12 @@ def remove_invalid_price(
     """
     if cap is None:
         cap = price_cap(df, column, limits)
-    priced = df.withColumn(column, to_number(df, column))
+    if not isinstance(df.schema[column].dataType, T.NumericType):
+        df = df.withColumn(column, to_number(df, column))
+    price = F.col(f"`{column}`")
     if cap is None:
-        return priced.filter(F.lit(False))
-    lowest = F.col(column) >= float(limits.min_price)
-    return priced.filter((F.col(column) > 0) & lowest & (F.col(column) <= cap))
+        df = df.filter(F.lit(False))
+    else:
+        # On the stored column; NaN compares as the largest number and goes with the cap.
+        df = df.filter((price > 0) & (price >= float(limits.min_price)) & (price <= cap))
+    return df.withColumn(column, price.cast("double"))

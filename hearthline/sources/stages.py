@@ -19,17 +19,15 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="hearthline-"))
-    return context.getCheckpointDir().rstrip("/")
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="hearthline-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)  # iterative fits cut their lineage there
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
