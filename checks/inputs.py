@@ -96,9 +96,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         made = _run(spark, sf_dir, LISTINGS, "orders", "customer", "nation")
-        # The small test files give fewer tasks than there are cores.
+        # Tables of a few small files give fewer tasks than there are cores.
         cores = spark.sparkContext.defaultParallelism
-        if made.rdd.getNumPartitions() < cores:
+        if len(made.inputFiles()) < cores:
             made = made.repartition(cores, "property_id")
         path = f"{shared_folder(spark)}/checks/listings-{uuid.uuid4().hex}"
         made.write.parquet(path)

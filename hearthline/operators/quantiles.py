@@ -19,7 +19,7 @@ from hearthline.functions import to_number
 
 _STEPS = 500
 _ACCURACY = 5000
-RANKED_AT_ONCE = 1_000_000
+RANKED_AT_ONCE = 200_000
 
 
 @dataclass(frozen=True)
