@@ -10,6 +10,9 @@ _SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+# The same set as a pattern class, and the text that collapsing would change.
+_SPACE = r"[\s\x1c-\x1f]"
+_UNEVEN = rf"(?U){_SPACE}{{2}}|[\s\x1c-\x1f&&[^ ]]"
 
 
 def trimmed(c: Column) -> Column:
@@ -17,7 +20,9 @@ def trimmed(c: Column) -> Column:
 
 
 def collapse_spaces(c: Column) -> Column:
-    return F.regexp_replace(c, f"[{_SPACES}]+", " ")
+    """Every run of white space as one space; most text has none to change."""
+    even = F.regexp_replace(c, rf"(?U){_SPACE}+", " ")
+    return F.when(c.rlike(_UNEVEN), even).otherwise(c)
 
 
 def normalised(c: Column) -> Column:
