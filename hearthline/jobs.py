@@ -28,7 +28,10 @@ def audit_job(
     multi_line: bool = True,
 ) -> Audit:
     """Raw CSV to audited listings, and the counts of each step if asked for."""
-    done = audit(sources.read_listings_csv(spark, raw, multi_line=multi_line))
+    listings = sources.read_listings_csv(spark, raw, multi_line=multi_line)
+    if report:
+        listings = sources.stage(listings, "raw")  # the report reads a few columns again
+    done = audit(listings)
     if ordered:
         sources.write_table(done.listings, out, fmt, order_col=done.order_col)
     else:

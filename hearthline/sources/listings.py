@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline import settings as S
-from hearthline.functions import canonical_number, parse_number
+from hearthline.functions import canonical_code, canonical_number, parse_number
 
 # The audit itself decides what in these is a number, so the scan leaves their text alone.
 RAW_TEXT_KEPT = (
@@ -23,11 +23,15 @@ _ENGINEERED = (
 
 
 def raw_types() -> dict[str, str]:
-    """Types of the raw columns that the scan converts; every other column stays text."""
-    numbers = {c: "double" for c in S.NUMERIC_FEATURES}
-    flags = {c: "int" for c in S.FLAGS_MISSING_AS_ZERO + S.FLAGS_MISSING_AS_UNKNOWN}
+    """Kinds of the raw columns that the scan converts; every other column stays text.
+
+    A "code" is text with whole numbers in one spelling; flags with three answers are codes,
+    because they end as categories.
+    """
+    numbers = {c: "double" for c in S.NUMERIC_FEATURES + S.FLAGS_MISSING_AS_ZERO}
+    codes = {c: "code" for c in S.FLAGS_MISSING_AS_UNKNOWN}
     skipped = RAW_TEXT_KEPT + _ENGINEERED
-    return {c: t for c, t in (numbers | flags).items() if c not in skipped}
+    return {c: t for c, t in (numbers | codes).items() if c not in skipped}
 
 
 def with_row_order(df: DataFrame, name: str = "row_ord") -> DataFrame:
@@ -76,10 +80,10 @@ def _cell(name: str, kind: str | None):
     text = F.when(~text.isin(list(S.MISSING_TOKENS)), text)
     if kind is None:
         return canonical_number(text) if name in RAW_TEXT_KEPT else text
-    if kind in ("int", "bigint", "long"):
-        return parse_number(text).try_cast(kind)
-    if kind in ("double", "float"):
-        return parse_number(text).cast(kind)
+    if kind == "code":
+        return canonical_code(text)
+    if kind == "double":
+        return parse_number(text)
     return text.try_cast(kind)
 
 

@@ -11,21 +11,22 @@ from tests.conftest import values
 def test_raw_scan(spark, tmp_path):
     file = tmp_path / "raw.csv"
     file.write_text(
-        "property_id,price,bedrooms,garden,street,epc,extra\n"
-        '1,250000,2,1,"Rue ""X"", 5",NA,a\n'
-        '2,on demand,n/a,0,"two\nlines",None,\n'
-        "3, 30000.0 ,3.0,x, spaced ,<NA>,NULL\n"
-        "4,,,,,,\n"
+        "property_id,price,bedrooms,garden,street,epc,extra,vat\n"
+        '1,250000,2,1,"Rue ""X"", 5",NA,a,1.0\n'
+        '2,on demand,n/a,0,"two\nlines",None,,0\n'
+        "3, 30000.0 ,3.0,x, spaced ,<NA>,NULL,yes\n"
+        "4,,,,,,,\n"
     )
     df = sources.read_listings_csv(spark, str(file))
-    assert df.columns == ["property_id", "price", "bedrooms", "garden", "street", "epc", "extra", "row_ord"]
-    assert dict(df.dtypes)["bedrooms"] == "double" and dict(df.dtypes)["garden"] == "int"
+    assert df.columns[-2:] == ["vat", "row_ord"] and len(df.columns) == 9
+    kinds = dict(df.dtypes)
+    assert kinds["bedrooms"] == kinds["garden"] == "double" and kinds["vat"] == "string"
     got = df.orderBy("row_ord").drop("row_ord").collect()
     assert [tuple(r) for r in got] == [
-        ("1", "250000.0", 2.0, 1, 'Rue "X", 5', None, "a"),
-        ("2", "on demand", None, 0, "two\nlines", None, None),
-        ("3", "30000.0", 3.0, None, " spaced ", None, None),
-        ("4", None, None, None, None, None, None),
+        ("1", "250000.0", 2.0, 1.0, 'Rue "X", 5', None, "a", "1"),
+        ("2", "on demand", None, 0.0, "two\nlines", None, None, "0"),
+        ("3", "30000.0", 3.0, None, " spaced ", None, None, "yes"),
+        ("4", None, None, None, None, None, None, None),
     ]
 
 
@@ -142,5 +143,5 @@ def test_stage_writes_to_the_shared_folder(spark):
 
 def test_raw_types_cover_the_features():
     types = sources.raw_types()
-    assert types["bedrooms"] == "double" and types["garden"] == "int"
+    assert types["bedrooms"] == "double" and types["garden"] == "double" and types["vat"] == "code"
     assert "price" not in types and "property_age" not in types
