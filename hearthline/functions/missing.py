@@ -33,7 +33,7 @@ def is_true(predicate: Column) -> Column:
 
 def keep_unless_in(c: Column, values: Iterable) -> Column:
     """True unless ``c`` is one of ``values``; a missing value is kept."""
-    return F.coalesce(~c.isin(list(values)), F.lit(True))
+    return c.isNull() | ~c.isin(list(values))
 
 
 def at_least(c: Column, low) -> Column:
