@@ -14,7 +14,7 @@ _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*([e][+-]?\d+)?|\.\d+([e][+-]?\d+)?|inf|infini
 
 def parse_number(c: Column) -> Column:
     """A text column as double, null where the text is not a number."""
-    return F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def to_number(df: DataFrame, name: str) -> Column:

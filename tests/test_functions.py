@@ -12,7 +12,7 @@ from tests.conftest import values
 @pytest.mark.parametrize(
     ("text", "number"),
     [
-        ("12", 12.0), (" 12 ", 12.0), ("-1", -1.0), ("+3.5", 3.5), (".5", 0.5), ("5.", 5.0),
+        ("12", 12.0), (" 12 ", 12.0), ("\t12\n", 12.0), ("-1", -1.0), ("+3.5", 3.5), (".5", 0.5), ("5.", 5.0),
         ("1e3", 1000.0), ("2E-1", 0.2), ("1d", None), ("1f", None), ("on demand", None),
         ("", None), (None, None), ("1,5", None), ("0x10", None), ("1 2", None), ("nan", None),
         ("Infinity", math.inf),

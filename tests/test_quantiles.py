@@ -11,7 +11,7 @@ from hearthline.operators import quantiles
 from hearthline.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("q", [0.0, 0.01, 0.25, 0.5, 0.77, 0.99, 1.0])
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.99, 1.0])
 @pytest.mark.parametrize("at_once", [20, 1_000_000])
 def test_against_numpy(frame, q, at_once):
     rng = random.Random(5)
@@ -66,7 +66,7 @@ def test_missing_text_and_nan(frame):
     assert exact_quantiles(df.filter("false"), ["d"], 0.5) == {"d": None}
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(
     st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=60),
     st.floats(0, 1),
