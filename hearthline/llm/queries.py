@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthline.llm import decontaminate, langid, license_scan, mixing, quality, url_filter, warc
+from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, quality, url_filter, warc
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies; on a cluster, ``--py-files`` does."""
+    root = str(Path(__file__).resolve().parents[2])
+    given = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in given.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (given, root)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,6 +70,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
@@ -75,6 +94,7 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
+    "op8_jaccard": op8_jaccard,
     "op9_warc": op9_warc,
 }
 
