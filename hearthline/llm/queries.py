@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, quality, url_filter, warc
+from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, passages, quality, url_filter, warc
 
 
 def importable(spark: SparkSession) -> None:
@@ -87,6 +87,15 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("doc").alias("doc_id"), F.col("owner").alias("other_id"), F.col("first").alias("first_word"),
+        F.col("past").alias("past_word"), F.col("owner_first").alias("other_first"),
+        F.col("owner_past").alias("other_past"), "similarity",
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -96,6 +105,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_jaccard": op8_jaccard,
     "op9_warc": op9_warc,
+    "op10_passages": op10_passages,
 }
 
 ORACLES: dict[str, str] = {}
