@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, passages, quality, url_filter, warc
+from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, passages, quality, topk, url_filter, warc
 
 
 def importable(spark: SparkSession) -> None:
@@ -52,6 +52,12 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = topk.top_k(vectors, F.col("vec_id") % 100 == 0, "vec_id", topk.quantised("embedding"))
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -101,6 +107,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_licenses": op3_licenses,
     "op4_urls": op4_urls,
+    "op5_topk": op5_topk,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
     "op8_jaccard": op8_jaccard,
