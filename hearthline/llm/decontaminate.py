@@ -19,6 +19,7 @@ other columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from hearthline.llm.textwords import ALPHANUMERIC, chunks, grams, words
 from hearthline.sources.stages import stage
 
 SHINGLE = 3  # words of a shingle; less for a window of fewer words
-_FOUND = "n_words long, spans array<struct<first:int,past:int>>, items array<string>"
+_FOUND = "__n_words long, __spans array<struct<first:int,past:int>>, __items array<string>"
 
 
 @dataclass(frozen=True)
@@ -161,9 +162,9 @@ def _scan(docs: DataFrame, keep: list[str], text: str, index) -> DataFrame:
             n_words, spans, items = [], [], []
             for chunk in chunks(batch.column(0)):
                 found = words(chunk, ALPHANUMERIC)
-                hashes, n = found.hashes(), len(chunk)
-                starts, which = occurrences(block, found, hashes)
-                past = starts + block.length[which]
+                n = len(chunk)
+                starts, which = occurrences(block, found)
+                past = starts + (block.length[which] if len(which) else 0)
                 own = np.searchsorted(found.bounds, starts, "right") - 1
                 n_words.append(found.counts())
                 chunk_spans, chunk_items = [[] for _ in range(n)], [[] for _ in range(n)]
@@ -179,15 +180,18 @@ def _scan(docs: DataFrame, keep: list[str], text: str, index) -> DataFrame:
                 items += chunk_items
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(np.concatenate(n_words) if n_words else np.zeros(0, np.int64), pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))],
-                names=[*keep, "n_words", "spans", "items"],
+                names=[*keep, "__n_words", "__spans", "__items"],
             )
 
     return source.mapInArrow(run, schema)
 
 
-def occurrences(block: Index, found, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def occurrences(block: Index | None, found) -> tuple[np.ndarray, np.ndarray]:
     """First words (in the chunk) and windows of all verified occurrences."""
-    starts, which = [], []
+    starts, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if block is None:
+        return starts[0], which[0]
+    hashes = found.hashes()
     for size, (look, begin, window, place) in block.anchors.items():
         at, key = look.find(grams(hashes, size))
         count = np.diff(begin)[key]
@@ -205,8 +209,6 @@ def occurrences(block: Index, found, hashes: np.ndarray) -> tuple[np.ndarray, np
             start, w = start[same | ~inside], w[same | ~inside]
         starts.append(start)
         which.append(w)
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(starts), np.concatenate(which)
 
 
@@ -220,15 +222,24 @@ def _joined(start: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start[first], past[np.append(first[1:] - 1, len(start) - 1)]
 
 
+_NO_SPANS = "cast(array() as array<struct<first:int,past:int>>)"
+_NO_ITEMS = "cast(array() as array<string>)"
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text",
-                  item: str = "item_id", item_text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """``keep`` columns with ``n_words``, ``spans`` (hit words, joined), ``n_hit`` and ``items``."""
+                  item: str = "item_id", item_text: str = "text", settings: Settings = Settings(),
+                  prefix: str = "") -> DataFrame:
+    """``keep`` columns with ``n_words``, ``spans`` (hit words, joined), ``n_hit`` and ``items``.
+
+    ``prefix`` stands before the names of the new columns, which replace kept ones of the same name.
+    """
+    keep = [c for c in keep if c not in [prefix + n for n in ("n_words", "spans", "n_hit", "items")]]
     spark = docs.sparkSession
     all_windows = stage(windows(benchmark, item, item_text, settings), "benchmark-windows")
     blocks = -(-all_windows.count() // settings.block_windows)
     # Within one block nothing needs a key; several blocks are put together by row content.
     key = F.sha2(F.to_json(F.struct(F.col(text).alias("__text"), *keep)), 256).alias("__key")
-    source, names = (docs, keep) if blocks <= 1 else (docs.select(F.col(text), *keep, key), [*keep, "__key"])
+    source, names = (docs, keep) if blocks <= 1 else (docs.withColumn("__key", key), [*keep, "__key"])
     parts = []
     for b in range(blocks):
         rows = all_windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).toArrow()
@@ -241,26 +252,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
         index.choose(counts)
         part = _scan(source, names, text, spark.sparkContext.broadcast(index))
         parts.append(part if blocks <= 1 else stage(part, "benchmark-hits"))
-    if not parts:
-        counted = F.size(F.filter(F.split(F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != ""))
-        return docs.select(*keep, counted.cast("long").alias("n_words"), F.expr("cast(array() as array<struct<first:int,past:int>>)").alias("spans"), F.lit(0).cast("long").alias("n_hit"), F.expr("cast(array() as array<string>)").alias("items"))
+    if not parts:  # no window at all
+        parts.append(_scan(docs, keep, text, spark.sparkContext.broadcast(None)))
     found = parts[0]
     if len(parts) > 1:
-        more = parts[1].unionByName(parts[2]) if len(parts) > 2 else parts[1]
-        for p in parts[3:]:
-            more = more.unionByName(p)
-        more = more.where("size(items) > 0").groupBy("__key").agg(
-            F.array_distinct(F.flatten(F.collect_set("spans"))).alias("__spans"),
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("__items"),
+        hits = [p.where("size(__items) > 0").select("__key", "__spans", "__items") for p in parts[1:]]
+        more = reduce(DataFrame.unionByName, hits).groupBy("__key").agg(
+            F.flatten(F.collect_set("__spans")).alias("__more_spans"), F.flatten(F.collect_set("__items")).alias("__more_items")
         )
-        none = F.expr("cast(array() as array<struct<first:int,past:int>>)")
         found = found.join(more, "__key", "left").select(
-            *keep, "n_words",
-            F.array_sort(F.array_union("spans", F.coalesce("__spans", none))).alias("spans"),
-            F.array_sort(F.array_union("items", F.coalesce("__items", F.expr("cast(array() as array<string>)")))).alias("items"),
+            *keep, "__n_words",
+            F.array_sort(F.array_union("__spans", F.coalesce("__more_spans", F.expr(_NO_SPANS)))).alias("__spans"),
+            F.array_sort(F.array_union("__items", F.coalesce("__more_items", F.expr(_NO_ITEMS)))).alias("__items"),
         )
     covered = F.expr(
-        "aggregate(spans, named_struct('n', 0L, 'past', 0), (a, s) -> named_struct("
+        "aggregate(__spans, named_struct('n', 0L, 'past', 0), (a, s) -> named_struct("
         "'n', a.n + greatest(0, s.past - greatest(a.past, s.first)), 'past', greatest(a.past, s.past)), a -> a.n)"
     )
-    return found.select(*keep, "n_words", "spans", covered.alias("n_hit"), "items")
+    return found.select(
+        *keep, F.col("__n_words").alias(f"{prefix}n_words"), F.col("__spans").alias(f"{prefix}spans"),
+        covered.alias(f"{prefix}n_hit"), F.col("__items").alias(f"{prefix}items"),
+    )

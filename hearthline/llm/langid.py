@@ -120,22 +120,25 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Setti
     return Model(languages, logs, settings)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns with ``lang_pred`` and ``score``: the share of the chosen language.
+def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None,
+             pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``keep`` columns with ``pred`` and ``score``: the chosen language and its share.
+
+    The new columns replace kept ones of the same name.
 
     The score is the posterior of the chosen language after the summed log-probabilities are
     tempered by the square root of the number of n-grams: those of one text aren't independent.
     """
-    keep = keep if keep is not None else [c for c in docs.columns if c != text]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (pred, score)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(text).alias("__text"), *keep)
-    schema = source.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema = source.select(*keep).schema.add(pred, "string").add(score, "double")
 
-    def score(batches):
+    def judge(batches):
         model = shared.value
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
-            pred, share = [], []
+            chosen, share = [], []
             for chunk in chunks(batch.column(0)):
                 n = len(chunk)
                 sums, total = np.zeros((n, len(model.languages))), np.zeros(n)
@@ -158,15 +161,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                 else:
                     best, top = np.zeros(n, int), np.zeros(n)
                 known = lettered & bool(model.languages)
-                pred.append(names[np.where(known, best, len(names) - 1)])
+                chosen.append(names[np.where(known, best, len(names) - 1)])
                 share.append(np.where(known, top, 0.0))
-            if pred:
+            if chosen:
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[1:], pa.array(np.concatenate(pred), pa.string()), pa.array(np.concatenate(share))],
-                    names=[*keep, "lang_pred", "score"],
+                    [*batch.columns[1:], pa.array(np.concatenate(chosen), pa.string()), pa.array(np.concatenate(share))],
+                    names=[*keep, pred, score],
                 )
 
-    return source.mapInArrow(score, schema)
+    return source.mapInArrow(judge, schema)
 
 
 def held_out(id_column: str):

@@ -123,31 +123,55 @@ def multipliers(sized: DataFrame, goal: DataFrame, settings: Settings = Settings
     return state.select("source", "source_size", "target", "mean", "lam")
 
 
-def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
-        settings: Settings = Settings()) -> DataFrame:
-    """``id, source, size, source_size, target, rate, copies, taken`` per row of ``docs``."""
-    sized = stage(sizes(docs, id, source, text), "mix-sizes")
-    solved = multipliers(sized, stage(targets(sized, settings), "mix-targets"), settings)
+def _rated(rows: DataFrame, solved: DataFrame, settings: Settings) -> DataFrame:
+    """``rows`` (``id``, ``source``, ``size``) with the rate, its floor, and the cell of each."""
     solved = solved.withColumnRenamed("source", "s")
     # Many rows share a source: the few rows of ``solved`` are broadcast if Spark finds them small,
     # else an adaptive skew join splits the large sources.
-    rated = sized.join(solved, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    rated = rows.join(solved, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     rated = rated.withColumn("c", F.col("size") / F.col("mean"))
     _, tilted = _tilt(settings.cap)
-    rated = rated.withColumn("rate", F.when(F.col("size") == 0, 0.0).when(F.col("lam").isNull(), float(settings.cap)).otherwise(tilted))
-    rated = rated.withColumns({
+    rate = F.when(F.col("size") == 0, 0.0).when(F.col("lam").isNull(), float(settings.cap)).otherwise(tilted)
+    rated = rated.withColumn("rate", rate)
+    return rated.withColumns({
         "whole": F.floor("rate"),
         "class": F.when(F.col("size") > 0, F.floor(2 * F.log2("size"))).otherwise(-1).cast("int"),
         "bucket": F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(settings.buckets)).cast("int"),
     })
-    extra = _extra_cells(rated).select(F.col("source").alias("s"), F.col("class").alias("k"), F.col("bucket").alias("b"), F.lit(1).alias("extra"))
+
+
+def _mixed(docs: DataFrame, id: str, source: str, text: str, settings: Settings, more: list[Column]) -> DataFrame:
+    sized = stage(sizes(docs, id, source, text), "mix-sizes")
+    solved = multipliers(sized, stage(targets(sized, settings), "mix-targets"), settings)
+    extra = _extra_cells(_rated(sized, solved, settings)).select(
+        F.col("source").alias("s"), F.col("class").alias("k"), F.col("bucket").alias("b"), F.lit(1).alias("extra")
+    )
+    rows = sized if not more else docs.select(
+        F.col(id).alias("id"), F.col(source).alias("source"), size_of(text).alias("size"), *more
+    )
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("k")) & (F.col("bucket") == F.col("b"))
     copies = F.least(F.lit(settings.cap), F.col("whole") + F.coalesce(F.col("extra"), F.lit(0))).cast("int")
-    return (
-        rated.join(extra, same, "left")
-        .withColumn("copies", copies)
-        .select("id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    )
+    return _rated(rows, solved, settings).join(extra, same, "left").withColumn("copies", copies)
+
+
+def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
+        settings: Settings = Settings()) -> DataFrame:
+    """``id, source, size, source_size, target, rate, copies, taken`` per row of ``docs``."""
+    mixed = _mixed(docs, id, source, text, settings, [])
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixed.select("id", "source", "size", "source_size", "target", "rate", "copies", taken)
+
+
+def repeat(docs: DataFrame, copy: str = "copy", id: str = "doc_id", source: str = "source", text: str = "text",
+           settings: Settings = Settings()) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as they are taken, numbered by ``copy`` from 1.
+
+    The new column replaces one of the same name.
+    """
+    names = [c for c in docs.columns if c != copy]
+    mixed = _mixed(docs, id, source, text, settings, [F.struct(*names).alias("row")])
+    times = F.expr("if(copies > 0, sequence(1, copies), cast(array() as array<int>))")
+    return mixed.select("row", F.explode(times).alias("n")).select("row.*", F.col("n").alias(copy))
 
 
 def _extra_cells(rated: DataFrame) -> DataFrame:

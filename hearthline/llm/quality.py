@@ -174,8 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, id: str = "doc_id
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns with ``score`` and ``predicted``."""
-    keep = keep if keep is not None else [c for c in docs.columns if c != text]
+    """``keep`` columns with ``score`` and ``predicted``, which replace kept ones of these names."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(text).alias("__text"), *keep)
     schema = source.select(*keep).schema.add("score", "double").add("predicted", "integer")

@@ -119,11 +119,11 @@ def canonical(url: str):
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", keep: list[str] | None = None,
           default: str = "allow", no_host: str = "block") -> DataFrame:
-    """``keep`` columns with ``host``, ``path``, ``rule`` and ``verdict``.
+    """``keep`` columns with ``host``, ``path``, ``rule`` and ``verdict``, which replace kept ones.
 
     A URL that no rule fits gets ``default``, or ``no_host`` if it names no host.
     """
-    keep = keep if keep is not None else [c for c in pages.columns if c != url]
+    keep = [c for c in (pages.columns if keep is None else keep) if c not in ("host", "path", "rule", "verdict")]
     host, path = canonical(url)
     source = pages.select(*[F.col(c) for c in keep], host.alias("__host"), path.alias("__path"))
     schema = T.StructType([*source.schema.fields, T.StructField("__rule", T.IntegerType())])
