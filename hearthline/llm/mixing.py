@@ -7,10 +7,10 @@ damped Newton steps find it for all sources at once, each step one aggregation o
 ``(source, size, documents)``, which is stored and small against the texts.
 
 Rates become whole copies by error diffusion. Documents of a source fall into cells by size class and
-hash of the id, large classes first. Going through the cells, a cell's documents get one copy more
-than the floor of their rate when the tokens owed so far make up half of the cell, and what was
-given too much or too little is carried on to the next, smaller cell. A source has a fixed number of
-cells at most, whatever its number of documents, and the result depends on ids and texts alone.
+hash of the id. Going through the cells, large classes first, a cell's documents get the whole number of
+copies nearest to what they are owed, and what was given too much or too little is carried on to the
+next cell, so that small documents make up for large ones. A source has a fixed number of cells at
+most, whatever its number of documents, and the result depends on ids and texts alone.
 
 Defined results: a null or empty text has size 0 and takes no words; a null source is a source, the
 last one; a source without words has target 0; repeated rows share a cell and get equal copies; an
@@ -124,7 +124,7 @@ def multipliers(sized: DataFrame, goal: DataFrame, settings: Settings = Settings
 
 
 def _rated(rows: DataFrame, solved: DataFrame, settings: Settings) -> DataFrame:
-    """``rows`` (``id``, ``source``, ``size``) with the rate, its floor, and the cell of each."""
+    """``rows`` (``id``, ``source``, ``size``) with the rate and the cell of each."""
     solved = solved.withColumnRenamed("source", "s")
     # Many rows share a source: the few rows of ``solved`` are broadcast if Spark finds them small,
     # else an adaptive skew join splits the large sources.
@@ -134,7 +134,6 @@ def _rated(rows: DataFrame, solved: DataFrame, settings: Settings) -> DataFrame:
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("lam").isNull(), float(settings.cap)).otherwise(tilted)
     rated = rated.withColumn("rate", rate)
     return rated.withColumns({
-        "whole": F.floor("rate"),
         "class": F.when(F.col("size") > 0, F.floor(2 * F.log2("size"))).otherwise(-1).cast("int"),
         "bucket": F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(settings.buckets)).cast("int"),
     })
@@ -143,15 +142,15 @@ def _rated(rows: DataFrame, solved: DataFrame, settings: Settings) -> DataFrame:
 def _mixed(docs: DataFrame, id: str, source: str, text: str, settings: Settings, more: list[Column]) -> DataFrame:
     sized = stage(sizes(docs, id, source, text), "mix-sizes")
     solved = multipliers(sized, stage(targets(sized, settings), "mix-targets"), settings)
-    extra = _extra_cells(_rated(sized, solved, settings)).select(
-        F.col("source").alias("s"), F.col("class").alias("k"), F.col("bucket").alias("b"), F.lit(1).alias("extra")
+    given = _cell_copies(_rated(sized, solved, settings), settings).select(
+        F.col("source").alias("s"), F.col("class").alias("k"), F.col("bucket").alias("b"), F.col("copies").alias("given")
     )
     rows = sized if not more else docs.select(
         F.col(id).alias("id"), F.col(source).alias("source"), size_of(text).alias("size"), *more
     )
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("k")) & (F.col("bucket") == F.col("b"))
-    copies = F.least(F.lit(settings.cap), F.col("whole") + F.coalesce(F.col("extra"), F.lit(0))).cast("int")
-    return _rated(rows, solved, settings).join(extra, same, "left").withColumn("copies", copies)
+    rated = _rated(rows, solved, settings).join(given, same, "left")
+    return rated.withColumn("copies", F.coalesce("given", F.lit(0)))
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
@@ -174,21 +173,21 @@ def repeat(docs: DataFrame, copy: str = "copy", id: str = "doc_id", source: str
     return mixed.select("row", F.explode(times).alias("n")).select("row.*", F.col("n").alias(copy))
 
 
-def _extra_cells(rated: DataFrame) -> DataFrame:
-    """The cells whose documents get a copy more than the floor of their rates."""
+def _cell_copies(rated: DataFrame, settings: Settings) -> DataFrame:
+    """Copies of the documents of each cell, by error diffusion from large to small."""
     cells = (
-        rated.where("rate > whole")
+        rated.where("size > 0")
         .groupBy("source", "class", "bucket")
-        .agg(F.sum("size").alias("tokens"), F.sum(F.col("size") * (F.col("rate") - F.col("whole"))).alias("owed"))
+        .agg(F.sum("size").alias("tokens"), F.sum(F.col("size") * F.col("rate")).alias("wanted"))
     )
-    row = F.struct((-F.col("class")).alias("k"), F.col("bucket").alias("b"), F.col("tokens").alias("n"), F.col("owed").alias("q"))
+    row = F.struct((-F.col("class")).alias("k"), F.col("bucket").alias("b"), F.col("tokens").alias("n"), F.col("wanted").alias("q"))
     # At most 128 size classes times ``buckets`` cells for a source.
     lists = cells.groupBy("source").agg(F.array_sort(F.collect_list(row)).alias("cells"))
-    walk = F.expr("""
-        aggregate(cells, named_struct('e', 0D, 'chosen', cast(array() as array<struct<k:int,b:int>>)),
-          (a, x) -> if(a.e + x.q >= x.n / 2D,
-            named_struct('e', a.e + x.q - x.n, 'chosen', concat(a.chosen, array(named_struct('k', x.k, 'b', x.b)))),
-            named_struct('e', a.e + x.q, 'chosen', a.chosen)),
-          a -> a.chosen)""")
-    chosen = lists.select("source", F.explode(walk).alias("x"))
-    return stage(chosen.select("source", (-F.col("x.k")).alias("class"), F.col("x.b").alias("bucket")), "mix-cells")
+    copies = f"least({settings.cap}, greatest(0, cast(round((a.owed + x.q) / x.n) as int)))"
+    walk = F.expr(f"""
+        aggregate(cells, named_struct('owed', 0D, 'given', cast(array() as array<struct<k:int,b:int,c:int>>)),
+          (a, x) -> named_struct('owed', a.owed + x.q - x.n * {copies},
+            'given', concat(a.given, array(named_struct('k', x.k, 'b', x.b, 'c', {copies})))),
+          a -> a.given)""")
+    given = lists.select("source", F.explode(walk).alias("x"))
+    return stage(given.select("source", (-F.col("x.k")).alias("class"), F.col("x.b").alias("bucket"), F.col("x.c").alias("copies")), "mix-cells")
