@@ -5,9 +5,9 @@ every rule at once: ``D = ((D << 1) & B[c]) | (D & S[c])``, where ``B[c]`` has t
 the byte fits and ``S[c]`` the wildcard positions that may stay on it. Steps run over all URLs of a
 batch together, so the cost per byte doesn't depend on the number of URLs in Python.
 
-Glob syntax: ``*`` is any run of bytes and ``**.`` at the front is any run of host labels, that is
-bytes without ``/``. Every rule matches from the start of the canonical URL (host, then path) and
-holds as soon as its last byte is reached.
+The canonical URL is ``host#path``, as neither part can hold a ``#``. Glob syntax: ``*`` is any run of
+bytes and ``**.`` at the front is any run of host labels, which doesn't leave the host. Every glob matches
+from the start of the canonical URL and holds as soon as its last byte is reached.
 
 Defined results: a URL that is null or has no ``://`` has empty host and path and matches no rule;
 of the rules that match, the longest counts, then the earlier one. Repeated rows are judged each.
@@ -34,7 +34,7 @@ class Rule:
 
 def host_rule(host: str, path: str, verdict: str) -> Rule:
     """A rule for a host, all its subdomains, and paths that start with ``path``."""
-    return Rule(host + path, verdict, (host + path, "**." + host + path))
+    return Rule(host + path, verdict, (f"{host}#{path}", f"**.{host}#{path}"))
 
 
 class Automaton:
@@ -45,7 +45,7 @@ class Automaton:
         first, last, owner = [], [], []
         none, any_byte = np.zeros(256, bool), np.ones(256, bool)
         host_byte = any_byte.copy()
-        host_byte[ord("/")] = False
+        host_byte[ord("#")] = False
         for number, rule in enumerate(rules):
             for glob in rule.globs:
                 stay, text = none, glob.encode()
@@ -133,7 +133,7 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", keep: list[str]
         automaton = Automaton(rules)
         for batch in batches:
             whole = pc.binary_join_element_wise(
-                batch.column(n).cast(pa.large_string()), batch.column(n + 1).cast(pa.large_string()), pa.scalar("", pa.large_string())
+                batch.column(n).cast(pa.large_string()), batch.column(n + 1).cast(pa.large_string()), pa.scalar("#", pa.large_string())
             )
             found = [automaton.best(c.data, c.starts) for c in chunks(whole)]
             number = np.concatenate(found) if found else np.zeros(0, int)
