@@ -9,59 +9,122 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hearthline import settings as S
 from hearthline.sources import shared_folder
 
-LISTINGS = """
+_SOURCE = """
 WITH b AS (
   SELECT o_orderkey AS k, o_totalprice AS tp, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS st,
          c_nationkey AS nk, c_mktsegment AS seg
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey),
 g AS (
   SELECT *, CAST(49 AS DOUBLE) + CAST(k % 270 AS DOUBLE) / CAST(100 AS DOUBLE) AS la,
-         CAST(2 AS DOUBLE) + CAST(k % 470 AS DOUBLE) / CAST(100 AS DOUBLE) AS lo FROM b),
-l AS (
-  SELECT k AS property_id, k AS row_ord,
-    CASE WHEN k % 31 = 1 THEN lo ELSE la END AS latitude,
-    CASE WHEN k % 31 = 1 THEN la WHEN k % 37 = 2 THEN NULL ELSE lo END AS longitude,
-    CASE WHEN k % 97 = 0 THEN NULL WHEN k % 89 = 0 THEN 'on demand' WHEN k % 83 = 0 THEN '-1'
-         ELSE CAST(CAST(FLOOR(tp) AS BIGINT) AS STRING) END AS price,
-    CASE WHEN seg = 'MACHINERY' THEN NULL ELSE seg END AS property_type,
-    CASE WHEN k % 19 = 0 THEN NULL WHEN k % 17 = 0 THEN 'land' WHEN k % 17 = 1 THEN 'garage'
-         WHEN k % 17 = 2 THEN 'student_house' WHEN k % 2 = 0 THEN 'appartment' ELSE 'house' END AS category,
-    CAST(1000 + nk * 40 + k % 5 AS STRING) AS postal_code,
-    CASE WHEN k % 7 = 0 THEN NULL ELSE 'rue  de ' || CAST(k % 211 AS STRING) END AS street,
-    CAST(k % 50 AS STRING) AS house_number,
-    CASE WHEN k % 23 = 0 THEN NULL ELSE CAST(k % 220 AS DOUBLE) END AS livable_surface,
-    CAST(k % 6 AS INT) AS bedrooms,
-    CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k % 61 AS INT) END AS floor,
-    CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(k % 73 AS INT) END AS number_of_floors,
-    CAST(k % 7 AS INT) AS garages, CAST(k % 6 AS INT) AS facades,
-    CASE WHEN k % 41 = 0 THEN NULL ELSE CAST(d AS STRING) END AS date_posted,
-    CASE st WHEN 'F' THEN ' Immediately ' WHEN 'O' THEN 'On delivery' ELSE NULL END AS availability,
-    CASE k % 6 WHEN 0 THEN 'FlandersDoubleA' WHEN 1 THEN 'BrusselsC' WHEN 2 THEN ' WalloniaE '
-         WHEN 3 THEN 'FlandersF' WHEN 4 THEN 'Unlisted' ELSE NULL END AS epc,
-    CASE k % 4 WHEN 0 THEN '(Information  not available)' WHEN 1 THEN ' No  Flooding area'
-         WHEN 2 THEN 'Low risk' ELSE NULL END AS flooding_area_type,
-    CASE k % 5 WHEN 0 THEN '0' WHEN 1 THEN '2' WHEN 2 THEN 'n.c.' WHEN 3 THEN '-1' ELSE NULL END AS indoor_parking,
-    CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k % 3 - 1 AS STRING) END AS outdoor_parking,
-    CASE k % 7 WHEN 0 THEN 'To be renovated' WHEN 1 THEN 'To demolish' WHEN 2 THEN 'Normal'
-         WHEN 3 THEN 'New' WHEN 4 THEN 'Excellent' ELSE NULL END AS building_state,
-    CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(1950 + k % 56 AS INT) END AS build_year
-  FROM g)
-SELECT * FROM l
-UNION ALL
-SELECT property_id + 10000000, row_ord + 10000000, latitude, longitude, price, property_type, category,
-  postal_code, street, house_number, livable_surface, bedrooms, floor, number_of_floors, garages, facades,
-  CAST(CAST(TRY_CAST(date_posted AS DATE) + INTERVAL '1' DAY AS DATE) AS STRING),
-  availability, epc, flooding_area_type, indoor_parking, outdoor_parking, building_state, build_year
-FROM l WHERE property_id % 10 = 3
-UNION ALL
-SELECT property_id + 20000000, row_ord + 20000000, latitude, longitude, price, property_type, category,
-  postal_code, UPPER(' ' || street), house_number, livable_surface, bedrooms, floor, number_of_floors,
-  garages, facades, date_posted,
-  availability, NULL, flooding_area_type, indoor_parking, outdoor_parking, building_state, build_year
-FROM l WHERE property_id % 25 = 4
-"""
+         CAST(2 AS DOUBLE) + CAST(k % 470 AS DOUBLE) / CAST(100 AS DOUBLE) AS lo FROM b)"""
+
+_STATES = (
+    "To be renovated", "To demolish", "Normal", "New", "Excellent", "Fully renovated", "To renovate",
+    "To restore",
+)
+
+
+def _choice(by: str, labels) -> str:
+    """One of the labels by a remainder; one remainder more is missing."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(labels))
+    return f"CASE {by} % {len(labels) + 1} {whens} ELSE NULL END"
+
+
+_EPC = [f" {v} " if i % 4 == 3 else v for i, v in enumerate(S.EPC_QUALITY)]
+
+# SQL that both engines read, by column.
+_COLUMNS = {
+    "property_id": "k",
+    "row_ord": "k",
+    "latitude": "CASE WHEN k % 31 = 1 THEN lo ELSE la END",
+    "longitude": "CASE WHEN k % 31 = 1 THEN la WHEN k % 37 = 2 THEN NULL ELSE lo END",
+    "price": """CASE WHEN k % 97 = 0 THEN NULL WHEN k % 89 = 0 THEN 'on demand' WHEN k % 83 = 0 THEN '-1'
+      ELSE CAST(CAST(FLOOR(tp) AS BIGINT) AS STRING) END""",
+    "property_type": "CASE WHEN seg = 'MACHINERY' THEN NULL ELSE seg END",
+    "category": """CASE WHEN k % 19 = 0 THEN NULL WHEN k % 17 = 0 THEN 'land' WHEN k % 17 = 1 THEN 'garage'
+      WHEN k % 17 = 2 THEN 'student_house' WHEN k % 2 = 0 THEN 'appartment' ELSE 'house' END""",
+    "postal_code": "CAST(1000 + nk * 40 + k % 5 AS STRING)",
+    "street": "CASE WHEN k % 7 = 0 THEN NULL ELSE 'rue  de ' || CAST(k % 211 AS STRING) END",
+    "house_number": "CAST(k % 50 AS STRING)",
+    "livable_surface": "CASE WHEN k % 23 = 0 THEN NULL ELSE CAST(k % 220 AS DOUBLE) END",
+    "bedrooms": "CAST(k % 6 AS INT)",
+    "floor": "CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k % 61 AS INT) END",
+    "number_of_floors": "CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(k % 73 AS INT) END",
+    "garages": "CAST(k % 7 AS INT)",
+    "facades": "CAST(k % 6 AS INT)",
+    # A time alone is no date.
+    "date_posted": "CASE WHEN k % 41 = 0 THEN NULL WHEN k % 43 = 0 THEN '12:30' ELSE CAST(d AS STRING) END",
+    "availability": "CASE st WHEN 'F' THEN ' Immediately ' WHEN 'O' THEN 'On delivery' ELSE NULL END",
+    "epc": _choice("k", [*_EPC, "Unlisted"]),
+    "flooding_area_type": """CASE k % 4 WHEN 0 THEN '(Information  not available)' WHEN 1 THEN ' No  Flooding area'
+      WHEN 2 THEN 'Low risk' ELSE NULL END""",
+    # A number with a Java suffix is no number.
+    "indoor_parking": "CASE k % 6 WHEN 0 THEN '0' WHEN 1 THEN '2' WHEN 2 THEN 'n.c.' WHEN 3 THEN '-1' WHEN 4 THEN '5d' ELSE NULL END",
+    "outdoor_parking": "CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k % 3 - 1 AS STRING) END",
+    "building_state": _choice("k", _STATES),
+    "build_year": "CASE WHEN k % 13 = 0 THEN NULL WHEN k % 59 = 0 THEN '5d' ELSE CAST(1950 + k % 56 AS STRING) END",
+    "kitchen_equipment": _choice("k", S.ORDINAL_FEATURES["kitchen_equipment"]),
+}
+_ENGINEERED = (
+    "post_year", "post_month", "statbel_commune_median", "statbel_transaction_count", "property_age",
+    "available_immediately", "flooding_area_clean", "epc_quality",
+)
+
+
+def _rest() -> dict[str, str]:
+    """The other columns of the full schema, by rule."""
+    made: dict[str, str] = {}
+
+    def add(names, rule):
+        for i, name in enumerate(names):
+            if name not in _COLUMNS and name not in _ENGINEERED:
+                made[name] = rule(i, name)
+
+    add(S.NUMERIC_FEATURES, lambda i, c: f"CASE WHEN k % {5 + i % 7} = 0 THEN NULL ELSE CAST((k * {7 + 2 * i}) % {40 + 3 * i} AS DOUBLE) / CAST(2 AS DOUBLE) END")
+    add(S.FLAGS_MISSING_AS_ZERO, lambda i, c: f"CASE WHEN k % {3 + i % 5} = 0 THEN NULL ELSE CAST((k % {7 + 2 * i}) % 2 AS DOUBLE) END")
+    add(S.FLAGS_MISSING_AS_UNKNOWN, lambda i, c: _choice(f"(k + {i})", ("0", "1")))
+    add(S.NOMINAL_FEATURES, lambda i, c: f"CASE WHEN k % {9 + i} = 0 THEN NULL ELSE '{c} ' || CAST(k % {3 + i} AS STRING) END")
+    add(S.METADATA_COLUMNS, lambda i, c: f"'{c} ' || CAST(k AS STRING)")
+    add(S.DROPPED_COLUMNS, lambda i, c: f"CASE WHEN k % {4 + i % 9} = 0 THEN NULL ELSE CAST(k % {2 + i % 11} AS STRING) END")
+    return made
+
+
+_COLUMNS |= _rest()
+COLUMNS = tuple(_COLUMNS)
+TEXT_COLUMNS = tuple(
+    c for c in COLUMNS
+    if c not in S.NUMERIC_FEATURES + S.FLAGS_MISSING_AS_ZERO + ("property_id", "row_ord") or c == "build_year"
+)
+
+
+def _copy(changes: dict[str, str], test: str) -> str:
+    cells = ", ".join(f"{changes[c]} AS {c}" if c in changes else c for c in COLUMNS)
+    return f"SELECT {cells} FROM l WHERE {test}"
+
+
+# Some are posted again a day later, with one number in another spelling; and some with less in them.
+_LATER = {
+    "property_id": "property_id + 10000000", "row_ord": "row_ord + 10000000",
+    "date_posted": "CAST(CAST(TRY_CAST(date_posted AS DATE) + INTERVAL '1' DAY AS DATE) AS STRING)",
+    "total_surface": "total_surface || '.0'", "immovlan_id": "'again ' || immovlan_id",
+}
+_LESS = {
+    "property_id": "property_id + 20000000", "row_ord": "row_ord + 20000000",
+    "street": "UPPER(' ' || street)", "epc": "NULL",
+}
+LISTINGS = (
+    _SOURCE
+    + ",\nl AS (SELECT "
+    + ", ".join(f"{sql} AS {name}" for name, sql in _COLUMNS.items())
+    + " FROM g)\nSELECT * FROM l UNION ALL "
+    + _copy(_LATER, "property_id % 10 = 3")
+    + " UNION ALL "
+    + _copy(_LESS, "property_id % 25 = 4")
+    + "\n"
+)
 
 # Four codes per commune, and the first one once more under another commune.
 POSTAL_MAP = """

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from checks.inputs import with_inputs
+from checks.inputs import COLUMNS, TEXT_COLUMNS, with_inputs
+from hearthline import settings as S
+
+CONTENT = tuple(c for c in COLUMNS if c not in (*S.METADATA_COLUMNS, "row_ord"))
+KEPT = tuple(c for c in COLUMNS if c not in S.DROPPED_COLUMNS and c not in ("row_ord", "date_posted"))
 
-COLUMNS = (
-    "property_id", "row_ord", "latitude", "longitude", "price", "property_type", "category",
-    "postal_code", "street", "house_number", "livable_surface", "bedrooms", "floor",
-    "number_of_floors", "garages", "facades", "date_posted", "availability", "epc",
-    "flooding_area_type", "indoor_parking", "outdoor_parking", "building_state", "build_year",
-)
-CONTENT = tuple(c for c in COLUMNS if c not in ("property_id", "row_ord", "date_posted"))
+
+def _spelled(c: str) -> str:
+    """Text with a number in one spelling."""
+    return f"COALESCE(CAST(TRY_CAST({c} AS DOUBLE) AS VARCHAR), {c})" if c in TEXT_COLUMNS else c
 
 
 def _norm(c: str) -> str:
@@ -43,7 +44,7 @@ located AS (SELECT * EXCLUDE (bad) REPLACE (
 def _safe(source: str, name: str) -> str:
     return f"""
 {name} AS (SELECT * EXCLUDE (rn) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(CONTENT)}
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(map(_spelled, CONTENT))}
     ORDER BY {POSTED} DESC NULLS LAST, row_ord) AS rn FROM {source}) WHERE rn = 1)
 """
 
@@ -62,11 +63,11 @@ def _suspicious(source: str, name: str) -> str:
 """
 
 
-def _priced(source: str, name: str) -> str:
+def _priced(source: str, name: str, least: int = 30000) -> str:
     return f"""
 cap AS (SELECT quantile_cont({_num('price')}, 0.99) AS c FROM {source}),
 {name} AS (SELECT * REPLACE ({_num('price')} AS price) FROM {source}
-  WHERE {_num('price')} >= 30000 AND {_num('price')} <= (SELECT c FROM cap))
+  WHERE {_num('price')} >= {least} AND {_num('price')} <= (SELECT c FROM cap))
 """
 
 
@@ -84,15 +85,19 @@ def _plausible(source: str, name: str) -> str:
 """
 
 
-AUDIT = ",".join(
-    (
-        REPAIR,
-        _safe("located", "safe"),
-        _suspicious("safe", "deduplicated"),
-        _priced("deduplicated", "priced"),
-        _plausible("priced", "audited"),
+def _audit(least: int) -> str:
+    return ",".join(
+        (
+            REPAIR,
+            _safe("located", "safe"),
+            _suspicious("safe", "deduplicated"),
+            _priced("deduplicated", "priced", least),
+            _plausible("priced", "audited"),
+        )
     )
-)
+
+
+AUDIT, AUDIT_LIMITS = _audit(30000), _audit(200000)
 
 LOOKUPS = """
 first_codes AS (SELECT postal_code, nis_code FROM (
@@ -100,8 +105,7 @@ first_codes AS (SELECT postal_code, nis_code FROM (
 stats AS (SELECT * FROM commune_stats WHERE year = 2025 AND nis_code IS NOT NULL)
 """
 
-EPC = """CASE TRIM(epc) WHEN 'FlandersDoubleA' THEN 'excellent' WHEN 'FlandersF' THEN 'bad'
-  WHEN 'BrusselsC' THEN 'good' WHEN 'WalloniaE' THEN 'poor' END"""
+EPC = "CASE TRIM(epc) {} END".format(" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.EPC_QUALITY.items()))
 AVAILABLE = """CASE WHEN LOWER(TRIM(availability)) = 'immediately' THEN 1
   WHEN availability IS NOT NULL THEN 0 END"""
 FLOODING = f"NULLIF({_norm('flooding_area_type')}, '(information not available)')"
@@ -117,12 +121,16 @@ def _parked(c: str) -> str:
 
 def _engineered(source: str, extra: str) -> str:
     """``source`` has post_year and post_month; ``extra`` are its leading columns."""
+    changed = {
+        "category": RELABEL, "indoor_parking": _parked("indoor_parking"),
+        "outdoor_parking": _parked("outdoor_parking"), "building_state": STATE,
+    }
+    gone = ("availability", "epc", "flooding_area_type")
+    cells = ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in KEPT if c not in gone)
+    age = f"post_year - {_num('build_year')}"
     return f"""
 reached AS (
-  SELECT {extra} latitude, longitude, price, property_type, {RELABEL} AS category, postal_code,
-    livable_surface, bedrooms, floor, number_of_floors, garages, facades,
-    {_parked('indoor_parking')} AS indoor_parking, {_parked('outdoor_parking')} AS outdoor_parking,
-    {STATE} AS building_state, build_year, post_year, post_month,
+  SELECT {extra} {cells}, post_year, post_month,
     {AVAILABLE} AS available_immediately, {EPC} AS epc_quality, {FLOODING} AS flooding_area_clean
   FROM {source} WHERE {IN_SCOPE}),
 engineered AS (
@@ -130,16 +138,19 @@ engineered AS (
     CASE WHEN category = 'appartment' THEN apt_median ELSE house_median END AS statbel_commune_median,
     CAST(CASE WHEN category = 'appartment' THEN apt_count ELSE house_count END AS DOUBLE)
       AS statbel_transaction_count,
-    CAST(CASE WHEN post_year - build_year < 0 THEN 0 ELSE post_year - build_year END AS DOUBLE)
-      AS property_age
+    CAST(CASE WHEN {age} < 0 THEN 0 ELSE {age} END AS DOUBLE) AS property_age
   FROM reached r LEFT JOIN first_codes USING (postal_code) LEFT JOIN stats USING (nis_code))
 """
 
 
 DATED = f"""dated AS (SELECT * EXCLUDE (date_posted),
   CAST(YEAR({POSTED}) AS INT) AS post_year, CAST(MONTH({POSTED}) AS INT) AS post_month FROM listings)"""
-CLEANED = f"""cleaned AS (SELECT * EXCLUDE (property_id, street, house_number, date_posted),
-  CAST(YEAR({POSTED}) AS INT) AS post_year, CAST(MONTH({POSTED}) AS INT) AS post_month FROM listings)"""
+def _cleaned(source: str) -> str:
+    return f"""cleaned AS (SELECT row_ord, {', '.join(KEPT)},
+  CAST(YEAR({POSTED}) AS INT) AS post_year, CAST(MONTH({POSTED}) AS INT) AS post_month FROM {source})"""
+
+
+CLEANED = _cleaned("listings")
 DISTINCT = "bare AS (SELECT DISTINCT * EXCLUDE (row_ord) FROM cleaned)"
 
 
@@ -195,14 +206,14 @@ NUMBERS = (
     "garages", "number_of_floors",
 )
 MEDIANS = "md AS (SELECT {} FROM listings)".format(
-    ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in NUMBERS)
+    ", ".join(f"quantile_cont({_num(c)}, 0.5) AS m_{c}" for c in NUMBERS)
 )
 FILLED = "filled AS (SELECT property_id, {} FROM listings, md)".format(
-    ", ".join(f"COALESCE(CAST({c} AS DOUBLE), m_{c}) AS num_{c}" for c in NUMBERS)
+    ", ".join(f"COALESCE({_num(c)}, m_{c}) AS num_{c}" for c in NUMBERS)
 )
 
 
-def _report() -> str:
+def _report(least: int = 30000) -> str:
     def count(step, measure, source, test=None):
         rows = f"COUNT(*) FILTER (WHERE {test})" if test else "COUNT(*)"
         return f"SELECT '{step}' AS step, '{measure}' AS measure, {rows} AS rows FROM {source}"
@@ -216,7 +227,7 @@ def _report() -> str:
         count("suspicious_duplicates", "rows_after", "deduplicated"),
         count("price", "price_missing", "deduplicated", f"{price} IS NULL"),
         count("price", "price_not_positive", "deduplicated", f"{price} <= 0"),
-        count("price", "price_below_min", "deduplicated", f"{price} > 0 AND {price} < 30000"),
+        count("price", "price_below_min", "deduplicated", f"{price} > 0 AND {price} < {least}"),
         count("price", "price_above_cap", "deduplicated, cap", f"{price} > c"),
         count("price", "rows_after", "priced"),
         count("implausible", "livable_surface_below_min", "priced", "livable_surface < 12"),
@@ -241,6 +252,42 @@ def _money(c: str) -> str:
     return f"format('{{:,}}', CAST(ROUND_EVEN({c}, 0) AS BIGINT))"
 
 
+def _ranks() -> str:
+    parts = []
+    for c, scale in S.ORDINAL_FEATURES.items():
+        whens = " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(scale))
+        known = ", ".join(f"'{v}'" for v in scale)
+        parts.append(f"CAST(CASE {c} {whens} ELSE -1 END AS DOUBLE) AS ord_{c}")
+        parts.append(f"CAST(CASE WHEN {c} IN ({known}) THEN 0 ELSE 1 END AS DOUBLE) AS ord_{c}_missing")
+    return ", ".join(parts)
+
+
+CLEANED_DATED = f"""dated_clean AS (SELECT property_id, {', '.join(KEPT)},
+  CAST(YEAR({POSTED}) AS INT) AS post_year, CAST(MONTH({POSTED}) AS INT) AS post_month FROM listings)"""
+
+# Cells of three flags: what a tree that is grown to every cell predicts, and least squares on two.
+CELLS = ",".join(
+    (
+        _priced("listings", "priced"),
+        """known AS (SELECT property_id, price AS actual, LN(1 + price) AS y, COALESCE(heat_pump, 0) AS a,
+           COALESCE(garden, 0) AS b, COALESCE(alarm, 0) AS c FROM priced)""",
+        _split_of("known", "parted"),
+    )
+)
+CELL_MEANS = f"""{CELLS},
+means AS (SELECT a, b, c, EXP(AVG(y)) - 1 AS predicted FROM parted WHERE split = 'train' GROUP BY 1, 2, 3),
+predictions AS (SELECT property_id, split, actual, predicted FROM parted JOIN means USING (a, b, c)),
+measured AS (SELECT split, AVG(ABS(predicted - actual)) AS mae,
+    SQRT(AVG((predicted - actual) * (predicted - actual))) AS rmse,
+    1 - SUM((predicted - actual) * (predicted - actual)) / (VAR_POP(actual) * COUNT(*)) AS r2
+  FROM predictions GROUP BY 1)"""
+LEAST_SQUARES = f"""{CELLS},
+s AS (SELECT AVG(a) AS ma, AVG(b) AS mb, AVG(y) AS my, COVAR_POP(a, a) AS aa, COVAR_POP(a, b) AS ab,
+    COVAR_POP(b, b) AS bb, COVAR_POP(a, y) AS ay, COVAR_POP(b, y) AS cy FROM parted WHERE split = 'train'),
+w AS (SELECT *, (ay * bb - cy * ab) / (aa * bb - ab * ab) AS wa, (cy * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM s)"""
+_CELL_ROWS = """SELECT property_id, split, actual, ROUND(predicted, 3) AS predicted FROM predictions"""
+
+
 BODIES = {
     "listings_csv_scan": "SELECT property_id, epc, street, availability, date_posted, "
     + ", ".join(f"{_num(c)} AS {c}" for c in ("price", "indoor_parking", *NUMBERS))
@@ -263,8 +310,8 @@ BODIES = {
         " + ".join(f"({c} IS NOT NULL)::INT" for c in COLUMNS if c != "row_ord")
     ),
     "drop_and_date_parts": f"WITH {CLEANED} SELECT * FROM cleaned",
-    "target_and_features": """SELECT COUNT(*) AS rows, COUNT(price) AS with_target,
-      20 AS feature_columns FROM listings""",
+    "target_and_features": """SELECT property_id, category, livable_surface, NULL AS price FROM listings
+      UNION ALL SELECT NULL, NULL, NULL, price FROM listings""",
     "swap_coordinates": f"WITH {REPAIR} SELECT property_id, latitude, longitude FROM unswapped",
     "null_invalid_coordinates": f"WITH {REPAIR} SELECT property_id, latitude, longitude FROM located",
     "null_where_rules": f"""WITH {_plausible('listings', 'plausible')}
@@ -290,8 +337,8 @@ BODIES = {
     "parking_flags": f"""SELECT property_id, {_parked('indoor_parking')} AS indoor_parking,
       {_parked('outdoor_parking')} AS outdoor_parking FROM listings""",
     "building_state": f"SELECT property_id, {STATE} AS building_state FROM listings",
-    "property_age": f"""WITH {DATED} SELECT property_id, CAST(CASE WHEN post_year - build_year < 0 THEN 0
-      ELSE post_year - build_year END AS DOUBLE) AS property_age FROM dated""",
+    "property_age": f"""WITH {DATED} SELECT property_id, CAST(CASE WHEN post_year - {_num('build_year')} < 0 THEN 0
+      ELSE post_year - {_num('build_year')} END AS DOUBLE) AS property_age FROM dated""",
     "commune_code": f"""WITH {LOOKUPS} SELECT property_id, nis_code
       FROM listings LEFT JOIN first_codes USING (postal_code)""",
     "commune_enrich": f"""WITH {LOOKUPS} SELECT property_id,
@@ -321,19 +368,16 @@ BODIES = {
         for c in NUMBERS
     )
     + " FROM filled",
-    "zero_fill": f"""SELECT property_id, COALESCE({_num('outdoor_parking')}, 0) AS flag_outdoor_parking,
-      COALESCE(CAST(garages AS DOUBLE), 0) AS flag_garages FROM listings""",
+    "zero_fill": "SELECT property_id, {} FROM listings".format(
+        ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS flag_{c}" for c in S.FLAGS_MISSING_AS_ZERO)
+    ),
     "one_hot_long": " UNION ALL ".join(
         f"""SELECT property_id, '{c}' AS feature, COALESCE({c}, 'Unknown') AS category,
         CAST(1 AS DOUBLE) AS value FROM listings"""
         for c in ("property_type", "category", "availability")
     ),
-    "ordinal_rank": """SELECT property_id,
-      CAST(CASE building_state WHEN 'To demolish' THEN 0 WHEN 'To be renovated' THEN 1
-        WHEN 'Normal' THEN 2 WHEN 'Excellent' THEN 4 WHEN 'New' THEN 5 ELSE -1 END AS DOUBLE)
-        AS ord_building_state,
-      CAST(CASE WHEN building_state IS NULL THEN 1 ELSE 0 END AS DOUBLE) AS ord_building_state_missing
-      FROM listings""",
+    "ordinal_rank": f"""WITH {CLEANED_DATED}, {LOOKUPS}, {_engineered('dated_clean', 'property_id,')}
+      SELECT property_id, {_ranks()} FROM engineered""",
     "target_encode_oof": f"""WITH {TARGETS}, {BY_FOLD} SELECT postal_code, CAST(fold AS INT) AS fold,
       ROUND(encoded, 6) AS encoded FROM oof""",
     "target_encode_training": f"""WITH {TARGETS}, {BY_FOLD} SELECT property_id, ROUND(encoded, 6) AS encoded
@@ -355,6 +399,20 @@ BODIES = {
       {_money('ABS(predicted - actual)')} AS absolute_error
       FROM predictions WHERE split = 'test'
       ORDER BY ABS(predicted - actual) DESC NULLS LAST, property_id LIMIT 10""",
+    "linear_cells": f"""WITH {LEAST_SQUARES} SELECT property_id, split, actual,
+      ROUND(my + wa * (a - ma) + wb * (b - mb), 6) AS predicted_log FROM parted, w""",
+    "forest_cells": f"WITH {CELL_MEANS} {_CELL_ROWS}",
+    "boosted_cells": f"WITH {CELL_MEANS} {_CELL_ROWS}",
+    "boosted_cells_metrics": f"""WITH {CELL_MEANS} SELECT split, ROUND(mae, 2) AS mae, ROUND(rmse, 2) AS rmse,
+      ROUND(r2, 4) AS r2 FROM measured""",
+    "model_roundtrip": f"""WITH {AUDIT}, {_cleaned('audited')}, {DISTINCT},
+      n AS (SELECT COUNT(*) AS n FROM bare WHERE {IN_SCOPE})
+      SELECT 'test' AS split, CAST(CEIL(0.2 * n) AS BIGINT) AS rows, CAST(1 AS DOUBLE) AS same FROM n
+      UNION ALL SELECT 'train', CAST(n - CEIL(0.2 * n) AS BIGINT), CAST(1 AS DOUBLE) FROM n""",
+    "audit_report_limits": f"WITH {AUDIT_LIMITS} {_report(200000)}",
+    "price_quantile_narrowed": f"""SELECT COUNT(*) AS rows, quantile_cont({_num('price')}, 0.99) AS p99
+      FROM listings""",
+    "listings_in_order": """SELECT property_id, ROW_NUMBER() OVER (ORDER BY row_ord) - 1 AS place FROM listings""",
     "ols_one_feature": f"""WITH p AS (SELECT property_id, livable_surface AS x, ln(1 + {_num('price')}) AS y
         FROM listings WHERE {_num('price')} >= 30000 AND livable_surface IS NOT NULL),
       f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM p)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.inputs import commune_stats, listings, postal_map, table
@@ -37,7 +37,6 @@ NUMBERS = (
     "latitude", "longitude", "bedrooms", "livable_surface", "floor", "build_year", "facades",
     "garages", "number_of_floors",
 )
-SCALES = {"building_state": S.ORDINAL_FEATURES["building_state"]}
 HOT = ("property_type", "category", "availability")
 
 
@@ -74,6 +73,14 @@ def audited_table_roundtrip(spark, sf):
     return src.read_table(spark, path, [ID, "price", "category", "livable_surface"])
 
 
+def listings_in_order(spark, sf):
+    path = _folder(spark, "ordered")
+    src.write_table(listings(spark, sf).select(ID, "row_ord"), path, order_col="row_ord")
+    back = src.with_row_order(src.read_table(spark, path))
+    place = F.row_number().over(Window.orderBy("row_ord")) - 1
+    return back.select(ID, place.cast("long").alias("place"))
+
+
 def commune_stats_scan(spark, sf):
     path = _folder(spark, "communes")
     at = {v: k for k, v in src.lookups.COMMUNE_STATS_POSITIONS.items()}
@@ -147,10 +154,9 @@ def log_target(spark, sf):
     df = listings(spark, sf)
     price = fn.to_number(df, "price")
     usable = df.select(ID, price.alias("price")).filter("price > 0")
-    return usable.select(
-        ID,
-        F.round(F.log1p("price"), 9).alias("log_price"),
-        F.round(F.expm1(F.log1p("price")), 2).alias("price_back"),
+    labelled = usable.withColumn("label", training.log_label(usable))
+    return training.back_to_euros("label").transform(labelled).select(
+        ID, F.round("label", 9).alias("log_price"), F.round("predicted", 2).alias("price_back")
     )
 
 
@@ -169,17 +175,13 @@ def row_completeness(spark, sf):
 
 
 def drop_and_date_parts(spark, sf):
-    return clean(listings(spark, sf))
+    return clean(listings(spark, sf), on_bad_date="null")
 
 
 def target_and_features(spark, sf):
-    target, inputs = cols.target_and_features(cols.drop_columns(listings(spark, sf)))
-    sizes = F.lit(len(inputs.columns)).cast("int")
-    return target.agg(
-        F.count("*").alias("rows"),
-        F.count("price").alias("with_target"),
-        F.max(sizes).alias("feature_columns"),
-    )
+    df = listings(spark, sf).select(ID, "category", "price", "livable_surface")
+    target, inputs = cols.target_and_features(df)
+    return inputs.unionByName(target, allowMissingColumns=True)
 
 
 # --- audit -------------------------------------------------------------------
@@ -217,7 +219,7 @@ def dedup_suspicious(spark, sf):
 
 def dedup_exact(spark, sf):
     return dedup.remove_exact_duplicates(
-        listings(spark, sf).drop(ID, "row_ord", "date_posted")
+        listings(spark, sf).drop(*S.METADATA_COLUMNS, "row_ord")
     )
 
 
@@ -236,6 +238,12 @@ def price_quantile(spark, sf):
     return prices_.agg(F.count("*").alias("rows"), F.lit(cap).alias("p99"))
 
 
+def price_quantile_narrowed(spark, sf):
+    prices_ = listings(spark, sf).select("price")
+    cap = exact_quantiles(prices_, ["price"], 0.99, ranked_at_once=100)["price"]
+    return prices_.agg(F.count("*").alias("rows"), F.lit(cap).alias("p99"))
+
+
 def audit_listings(spark, sf):
     return audit(listings(spark, sf)).listings
 
@@ -244,6 +252,10 @@ def audit_report(spark, sf):
     return audit(listings(spark, sf)).report
 
 
+def audit_report_limits(spark, sf):
+    return audit(listings(spark, sf), limits=S.Limits(min_price=200_000)).report
+
+
 def lineitem_price_audit(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"
@@ -284,7 +296,7 @@ def building_state(spark, sf):
 
 
 def property_age(spark, sf):
-    dated = cols.date_parts(listings(spark, sf))
+    dated = cols.date_parts(listings(spark, sf), on_bad_date="null")
     return features.property_age(dated).select(ID, "property_age")
 
 
@@ -310,12 +322,12 @@ def commune_match_count(spark, sf):
 
 def engineered(spark, sf):
     return engineer_features(
-        clean(listings(spark, sf)), _postal(spark, sf), _stats(spark, sf)
+        clean(listings(spark, sf), on_bad_date="null"), _postal(spark, sf), _stats(spark, sf)
     )
 
 
 def _clean_without_order(spark, sf):
-    return clean(listings(spark, sf)).drop("row_ord")
+    return clean(listings(spark, sf), on_bad_date="null").drop("row_ord")
 
 
 def cv_table(spark, sf):
@@ -362,7 +374,7 @@ def standardise(spark, sf):
 
 def zero_fill(spark, sf):
     df = listings(spark, sf)
-    names = ("outdoor_parking", "garages")
+    names = S.FLAGS_MISSING_AS_ZERO
     return encoders.zero_fill(names).transform(df).select(ID, *[f"flag_{c}" for c in names])
 
 
@@ -392,9 +404,9 @@ def one_hot_long(spark, sf):
 
 
 def ordinal_rank(spark, sf):
-    df = features.building_state(listings(spark, sf))
-    return encoders.ordinal_rank(SCALES).transform(df).select(
-        ID, "ord_building_state", "ord_building_state_missing"
+    df = features.category_scope(features.epc_quality(features.building_state(listings(spark, sf))))
+    return encoders.ordinal_rank(S.ORDINAL_FEATURES).transform(df).select(
+        ID, *[f"ord_{c}{part}" for c in S.ORDINAL_FEATURES for part in ("", "_missing")]
     )
 
 
@@ -503,49 +515,90 @@ def ols_one_feature(spark, sf):
     return model.transform(rows).select(ID, F.round("prediction", 6).alias("prediction"))
 
 
-def _prepared(spark, sf):
-    audited = audit(listings(spark, sf)).listings
-    return prepare_training(
-        clean(audited).drop("row_ord"), _postal(spark, sf), _stats(spark, sf)
-    )
+_ready: dict[tuple[str, str], DataFrame] = {}
 
 
-def _trained(spark, sf, kind, **settings):
-    ready = _prepared(spark, sf)
-    groups = training.FeatureGroups().only(ready.columns)
-    return training.train(ready, kind, groups, **settings)
+def prepared(spark, sf):
+    """Audited, cleaned and engineered listings with their split, made once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ready:
+        audited = audit(listings(spark, sf)).listings
+        _ready[key] = prepare_training(
+            clean(audited, on_bad_date="null").drop("row_ord"), _postal(spark, sf), _stats(spark, sf)
+        )
+    return _ready[key]
 
 
 def linear_predict(spark, sf):
-    return _trained(spark, sf, "linear").predictions
+    return training.train(prepared(spark, sf), "linear").predictions
 
 
 def rf_predict(spark, sf):
-    return _trained(spark, sf, "random_forest", numTrees=20, maxDepth=8).predictions
+    return training.train(prepared(spark, sf), "random_forest", numTrees=20, maxDepth=8).predictions
 
 
 def gbt_predict(spark, sf):
-    return _trained(spark, sf, "boosted_trees", maxIter=10, stepSize=0.2).predictions
+    return training.train(prepared(spark, sf), "boosted_trees", maxIter=10, stepSize=0.2).predictions
 
 
 def gbt_metrics(spark, sf):
-    return _trained(spark, sf, "boosted_trees", maxIter=10, stepSize=0.2).metrics
+    return training.train(prepared(spark, sf), "boosted_trees", maxIter=10, stepSize=0.2).metrics
 
 
 def model_roundtrip(spark, sf):
-    ready = _prepared(spark, sf)
-    groups = training.FeatureGroups().only(ready.columns)
-    result = training.train(ready, "random_forest", groups, numTrees=10, maxDepth=6)
+    """Rows by split, and the share that a saved and loaded model predicts alike."""
+    ready = prepared(spark, sf)
+    result = training.train(ready, "random_forest", numTrees=10, maxDepth=6)
     path = _folder(spark, "model")
     training.save_model(result.model, path)
     again = evaluate.score(training.load_model(path), ready).select(
         ROW_KEY, F.col("predicted").alias("reloaded")
     )
-    return result.predictions.join(again, ROW_KEY).select(
-        ROW_KEY, "split", (F.abs(F.col("predicted") - F.col("reloaded")) < 1e-6).alias("same")
+    same = (F.abs(F.col("predicted") - F.col("reloaded")) < 1e-6).cast("double")
+    return result.predictions.join(again, ROW_KEY).groupBy("split").agg(
+        F.count("*").alias("rows"), F.avg(same).alias("same")
     )
 
 
+def _cells(spark, sf, kind, flags, **settings):
+    """All rows with a price, through the whole training, on a few flags."""
+    df = listings(spark, sf).select(ID, "price", *flags)
+    ready = split_train_test(src.stage(prices.remove_invalid_price(df), "cells"), ID)
+    groups = training.FeatureGroups((), flags, (), (), (), {})
+    return training.train(ready, kind, groups, key=ID, **settings)
+
+
+FLAGS = ("heat_pump", "garden", "alarm")
+WHOLE = {"featureSubsetStrategy": "all", "maxDepth": 3, "minInstancesPerNode": 1}
+
+
+def _predicted(trained):
+    return trained.predictions.withColumn("predicted", F.round("predicted", 3))
+
+
+def linear_cells(spark, sf):
+    predictions = _cells(spark, sf, "linear", FLAGS[:2]).predictions
+    return predictions.select(
+        ID, "split", "actual", F.round(F.log1p("predicted"), 6).alias("predicted_log")
+    )
+
+
+def forest_cells(spark, sf):
+    return _predicted(_cells(spark, sf, "random_forest", FLAGS, numTrees=1, bootstrap=False, **WHOLE))
+
+
+def _boosted(spark, sf):
+    return _cells(spark, sf, "boosted_trees", FLAGS, maxIter=3, subsamplingRate=1.0, **WHOLE)
+
+
+def boosted_cells(spark, sf):
+    return _predicted(_boosted(spark, sf))
+
+
+def boosted_cells_metrics(spark, sf):
+    return evaluate.rounded(_boosted(spark, sf).metrics)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -560,6 +613,8 @@ QUERIES: dict[str, Query] = {
         encoder_folds, median_impute, standardise, zero_fill, one_hot_long, ordinal_rank,
         target_encode_oof, target_encode_training, target_encode_new, metrics_group_mean,
         overfit_gaps, prediction_range, worst_errors, ols_one_feature, linear_predict,
-        rf_predict, gbt_predict, gbt_metrics, model_roundtrip,
+        rf_predict, gbt_predict, gbt_metrics, model_roundtrip, linear_cells, forest_cells,
+        boosted_cells, boosted_cells_metrics, audit_report_limits, price_quantile_narrowed,
+        listings_in_order,
     )
 }

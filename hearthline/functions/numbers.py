@@ -28,6 +28,13 @@ def to_number(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
+def number_sql(name: str) -> str:
+    """``to_number`` as SQL text, for stages that are kept as SQL; the type is looked up there."""
+    c = f"`{name}`"
+    text = f"typeof({c}) = 'string' AND NOT CAST({c} AS STRING) RLIKE r'{_NUMBER}'"
+    return f"CASE WHEN {text} THEN NULL ELSE nanvl(TRY_CAST({c} AS DOUBLE), NULL) END"
+
+
 def canonical_number(c: Column) -> Column:
     """Numeric text in one spelling (``'5'`` and ``'5.0'`` agree); other text as it is."""
     return F.coalesce(parse_number(c).cast("string"), c)

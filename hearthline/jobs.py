@@ -25,13 +25,14 @@ def audit_job(
     report: str | None = None,
     fmt: str = "parquet",
     ordered: bool = False,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    date_formats: Sequence[str] = (),
 ) -> Audit:
     """Raw CSV to audited listings, and the counts of each step if asked for."""
     listings = sources.read_listings_csv(spark, raw, multi_line=multi_line)
     if report:
         listings = sources.stage(listings, "raw")  # the report reads a few columns again
-    done = audit(listings)
+    done = audit(listings, date_formats=date_formats)
     if ordered:
         sources.write_table(done.listings, out, fmt, order_col=done.order_col)
     else:
@@ -41,9 +42,16 @@ def audit_job(
     return done
 
 
-def clean_job(spark: SparkSession, audited: str, out: str, on_bad_date: str = "fail") -> None:
+def clean_job(
+    spark: SparkSession,
+    audited: str,
+    out: str,
+    on_bad_date: str = "fail",
+    date_formats: Sequence[str] = (),
+) -> None:
     """Audited listings to clean listings."""
-    sources.write_table(clean(sources.read_table(spark, audited), on_bad_date=on_bad_date), out)
+    listings = sources.read_table(spark, audited)
+    sources.write_table(clean(listings, on_bad_date=on_bad_date, date_formats=date_formats), out)
 
 
 def _lookups(spark: SparkSession, postal: str, communes: str) -> tuple[DataFrame, DataFrame]:
@@ -99,12 +107,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
     job.add_argument("--report")
     job.add_argument("--fmt", choices=("parquet", "csv"), default="parquet")
     job.add_argument("--ordered", action="store_true", help="write rows in input order")
-    job.add_argument("--single-line", action="store_true", help="no cell holds a line break")
+    job.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
+    job.add_argument("--date-format", action="append", default=[], help="beside ISO dates")
 
     job = jobs.add_parser("clean")
     job.add_argument("--audited", required=True)
     job.add_argument("--out", required=True)
     job.add_argument("--on-bad-date", choices=("fail", "null"), default="fail")
+    job.add_argument("--date-format", action="append", default=[], help="beside ISO dates")
 
     for name in ("train", "score"):
         job = jobs.add_parser(name)
@@ -123,14 +133,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     a = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"hearthline-{a.job}").getOrCreate()
-    if a.job == "audit":
-        audit_job(spark, a.raw, a.out, a.report, a.fmt, a.ordered, not a.single_line)
-    elif a.job == "clean":
-        clean_job(spark, a.audited, a.out, a.on_bad_date)
-    elif a.job == "train":
-        train_job(spark, a.cleaned, a.postal, a.communes, a.out, a.kind)
-    else:
-        score_job(spark, a.cleaned, a.postal, a.communes, a.model, a.out)
+    with sources.scratch(spark):
+        if a.job == "audit":
+            audit_job(
+                spark, a.raw, a.out, a.report, a.fmt, a.ordered, a.multi_line, a.date_format
+            )
+        elif a.job == "clean":
+            clean_job(spark, a.audited, a.out, a.on_bad_date, a.date_format)
+        elif a.job == "train":
+            train_job(spark, a.cleaned, a.postal, a.communes, a.out, a.kind)
+        else:
+            score_job(spark, a.cleaned, a.postal, a.communes, a.model, a.out)
 
 
 if __name__ == "__main__":

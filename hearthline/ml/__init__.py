@@ -14,6 +14,7 @@ from hearthline.ml.evaluate import (
     worst_errors,
 )
 from hearthline.ml.models import (
+    FULL_DEPTH,
     boosted_trees,
     linear_regression,
     random_forest,
@@ -21,7 +22,7 @@ from hearthline.ml.models import (
 from hearthline.ml.training import fit_price_model, load_model, save_model, train
 
 __all__ = [
-    "CrossFitTargetEncoder", "CrossFitTargetEncoderModel", "MedianImputer", "Standardizer",
+    "FULL_DEPTH", "CrossFitTargetEncoder", "CrossFitTargetEncoderModel", "MedianImputer", "Standardizer",
     "boosted_trees", "fit_price_model", "linear_regression", "load_model", "metrics",
     "overfit_gaps", "prediction_range", "random_forest", "save_model", "score", "train",
     "worst_errors",

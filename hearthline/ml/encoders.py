@@ -26,7 +26,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.functions import to_number
+from hearthline.functions import number_sql, to_number
 from hearthline.operators.lookup_join import lookup_join
 from hearthline.operators.quantiles import exact_quantiles
 from hearthline.settings import UNKNOWN
@@ -66,7 +66,7 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
         medians = exact_quantiles(dataset, self.getInputCols(), 0.5)
         return add_columns(
             {
-                f"num_{c}": f"nanvl(coalesce(TRY_CAST(`{c}` AS DOUBLE), {_double(m)}), {_double(m)})"
+                f"num_{c}": f"coalesce({number_sql(c)}, {_double(m)})"
                 for c, m in medians.items()
                 if m is not None
             }
@@ -112,7 +112,7 @@ def output_columns(stage: SQLTransformer, prefix: str, inputs: Sequence[str]) ->
 def zero_fill(columns: Sequence[str]) -> SQLTransformer:
     """``flag_<column>``: a missing flag is 0."""
     return add_columns(
-        {f"flag_{c}": f"nanvl(coalesce(TRY_CAST(`{c}` AS DOUBLE), 0D), 0D)" for c in columns}
+        {f"flag_{c}": f"coalesce({number_sql(c)}, 0D)" for c in columns}
     )
 
 
@@ -123,6 +123,21 @@ def unknown_fill(columns: Sequence[str]) -> SQLTransformer:
     )
 
 
+MAX_CATEGORIES = 10_000
+
+
+def check_categories(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> None:
+    """Fail if a ``cat_<column>`` has clearly more than ``most`` values.
+
+    Fitted categories are kept on the driver and each is a slot of the vector, so free text that got
+    into a category column is refused here and not found out by a full driver.
+    """
+    counts = df.agg(*[F.approx_count_distinct(f"cat_{c}", 0.02).alias(c) for c in columns]).first()
+    wide = {c: counts[c] for c in columns if counts[c] > most * 1.05}
+    if wide:
+        raise ValueError(f"more than {most} categories: {wide}; leave the column out or encode its target")
+
+
 def one_hot(columns: Sequence[str]) -> list[Estimator]:
     """Stages from ``cat_<column>`` to ``hot_<column>``, one slot per fitted category.
 

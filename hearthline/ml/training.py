@@ -6,17 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline import settings as S
 from hearthline.functions import to_number
 from hearthline.ml.encoders import (
+    MAX_CATEGORIES,
     CrossFitTargetEncoder,
     MedianImputer,
     Standardizer,
     add_columns,
+    check_categories,
     one_hot,
     ordinal_rank,
     output_columns,
@@ -61,6 +63,16 @@ class FeatureGroups:
         )
 
 
+def log_label(df: DataFrame, target: str = S.TARGET) -> Column:
+    """What models are fitted to: the log of one more than the price."""
+    return F.log1p(to_number(df, target))
+
+
+def back_to_euros(prediction: str) -> SQLTransformer:
+    """The last stage of every model: column ``predicted`` from a prediction of the label."""
+    return add_columns({"predicted": f"expm1(`{prediction}`)"})
+
+
 def fit_price_model(
     train_rows: DataFrame,
     regressor: Estimator,
@@ -69,6 +81,7 @@ def fit_price_model(
     ordinal_as_categories: bool = False,
     key: str = ROW_KEY,
     target: str = S.TARGET,
+    max_categories: int = MAX_CATEGORIES,
 ) -> PipelineModel:
     """Fit encoders and regressor on the log of the price.
 
@@ -79,7 +92,7 @@ def fit_price_model(
     groups = groups or FeatureGroups()
     df = train_rows.select(
         *groups.columns(),
-        F.log1p(to_number(train_rows, target)).alias("label"),
+        log_label(train_rows, target).alias("label"),
         fold_of(F.col(key)).alias("fold"),
     )
     shared_folder(df.sparkSession)  # boosted trees cut their lineage there
@@ -109,6 +122,7 @@ def fit_price_model(
     if texts:
         add(unknown_fill(texts))
     if categories or trailing:
+        check_categories(df, [*categories, *trailing], max_categories)
         for stage_ in one_hot([*categories, *trailing]):
             add(stage_)
     inputs += [f"hot_{c}" for c in categories]
@@ -127,7 +141,7 @@ def fit_price_model(
 
     ready = stage(df.select("features", "label"), "training")
     fitted.append(regressor.fit(ready))
-    fitted.append(add_columns({"predicted": f"expm1(`{regressor.getPredictionCol()}`)"}))
+    fitted.append(back_to_euros(regressor.getPredictionCol()))
     return PipelineModel(fitted)
 
 

@@ -1,4 +1,4 @@
-"""Left join to a lookup table whose size is checked before it is broadcast."""
+"""Left join to a lookup table."""
 
 from __future__ import annotations
 
@@ -7,37 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
 
+def unique_lookup(df: DataFrame, key: str, what: str) -> DataFrame:
+    """One row per key; a key with two rows is an error, as a join would multiply listings.
 
-def require_unique(df: DataFrame, key: str, what: str) -> None:
-    """Fail when a key has two rows; a join would then multiply listings."""
-    repeated = df.groupBy(key).count().filter("count > 1").first()
-    if repeated is not None:
-        raise ValueError(f"{what}: {key} {repeated[key]} has {repeated['count']} rows")
+    The error is raised by the query that reads the lookup, in the same pass; no job runs here.
+    """
+    rest = [c for c in df.columns if c != key]
+    grouped = df.groupBy(key).agg(
+        F.count("*").alias("_rows"), *[F.first(F.col(f"`{c}`")).alias(c) for c in rest]
+    )
+    message = F.concat(F.lit(f"{what}: {key} "), F.col(key).cast("string"), F.lit(" has several rows"))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.col(key))
+    return grouped.select(checked.cast(df.schema[key].dataType).alias(key), *rest)
 
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str | Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-    spread_by: Sequence[str] | None = None,
-) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Left join on a key that is unique in ``lookup``.
 
-    A lookup of at most ``broadcast_rows`` rows is broadcast. A larger one is joined by
-    shuffle with every key split over ``salts`` tasks, so one hot key, or all rows without a
-    match, do not end in one task. The split follows a hash of ``spread_by`` (by default of
-    the whole row), not a random number, so a task that runs again puts its rows where they
-    were.
+    Spark broadcasts the lookup if its bytes stay below ``spark.sql.autoBroadcastJoinThreshold``,
+    measured at run time. Else both sides are shuffled, and adaptive execution splits the partition of a
+    hot key, or of all rows without a match, into as many tasks as its size asks for; nothing here
+    depends on a fixed number of tasks. No job runs before the result is read.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return df.join(F.broadcast(lookup), keys, "left")
-    spread = list(spread_by or df.columns)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    return df.join(lookup, [key] if isinstance(key, str) else list(key), "left")

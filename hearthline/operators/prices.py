@@ -28,6 +28,16 @@ def price_findings(
     }
 
 
+def valid_price(
+    df: DataFrame, cap: float | None, column: str = "price", limits: Limits = LIMITS
+) -> Column:
+    """Whether a row keeps its place in ``remove_invalid_price``."""
+    if cap is None:
+        return F.lit(False)
+    price = to_number(df, column)
+    return is_true((price > 0) & (price >= float(limits.min_price)) & (price <= cap))
+
+
 def remove_invalid_price(
     df: DataFrame, column: str = "price", limits: Limits = LIMITS, cap: float | None = None
 ) -> DataFrame:

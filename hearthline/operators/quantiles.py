@@ -1,9 +1,10 @@
 """Exact quantiles of many columns that never gather a whole column in one task.
 
-Spark's ``percentile`` keeps every distinct value of a column in one place. Here a small
-sketch first brackets the wanted rank, exact counts confirm the bracket, and the bracket is
-narrowed until what lies inside is small; only those values are ranked. The sketch decides
-how many rows are ranked, never the result.
+Spark's ``percentile`` keeps every distinct value of a column in one place. Here the values between a
+column's smallest and largest are counted in equal steps; the step that holds the wanted rank is counted
+in steps again, until it holds one value or few rows; only those are ranked. Counts are combined before
+they are shuffled and spread over tasks by step, so neither the number of rows nor of tasks makes one
+task large.
 """
 
 from __future__ import annotations
@@ -17,27 +18,26 @@ from pyspark.sql import functions as F
 
 from hearthline.functions import to_number
 
-_STEPS = 500
-_ACCURACY = 5000
-RANKED_AT_ONCE = 200_000
+_STEPS = 512
+_LARGEST = 1.7976931348623157e308
+RANKED_AT_ONCE = 10_000
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Values from ``low`` to ``high``, both inclusive and ``None`` when open."""
+    """``inside`` values from ``low`` to ``high``, both inclusive, and ``below`` smaller ones.
+
+    ``above`` is the smallest value beyond, where the upper of the two wanted ranks lies there.
+    """
 
     below: int
     inside: int
-    low: float | None = None
-    high: float | None = None
+    low: float
+    high: float
+    above: float | None = None
 
     def holds(self, c: Column) -> Column:
-        test = c.isNotNull()
-        if self.low is not None:
-            test = test & (c >= self.low)
-        if self.high is not None:
-            test = test & (c <= self.high)
-        return test
+        return c.between(self.low, self.high)
 
 
 def exact_quantiles(
@@ -45,25 +45,31 @@ def exact_quantiles(
 ) -> dict[str, float | None]:
     """The ``q`` quantile of each column, linear between neighbours; ``None`` if all missing.
 
-    Reads ``df`` two times, plus two more per narrowing step of roughly a hundredfold, so pass
-    a stored table and not a long plan.
+    Reads ``df`` two times, plus once per narrowing by five hundred, so pass a stored table and not a
+    long plan. The rows left to rank, ``ranked_at_once`` per column, say how far the search narrows and
+    not what it finds.
     """
     names = list(columns)
     if not names:
         return {}
     numbers = df.select(*[to_number(df, n).alias(n) for n in names])
-    totals = numbers.agg(*[F.count(f"`{n}`").alias(n) for n in names]).first()
-    rows = {n: totals[n] for n in names if totals[n]}
-    if not rows:
+    ends = numbers.agg(
+        *[
+            f(f"`{n}`").alias(f"{n}|{k}")
+            for n in names
+            for k, f in (("rows", F.count), ("low", F.min), ("high", F.max))
+        ]
+    ).first()
+    brackets = {
+        n: _Bracket(0, ends[f"{n}|rows"], ends[f"{n}|low"], ends[f"{n}|high"])
+        for n in names
+        if ends[f"{n}|rows"]
+    }
+    if not brackets:
         return dict.fromkeys(names)
-    at = {n: q * (rows[n] - 1) for n in rows}
-    brackets = {n: _Bracket(0, rows[n]) for n in rows}
-    wide = [n for n in rows if rows[n] > ranked_at_once]
-    while wide:
-        narrowed = _narrow(numbers, {n: brackets[n] for n in wide}, at)
-        changed = [n for n in wide if narrowed[n] != brackets[n]]
-        brackets.update(narrowed)
-        wide = [n for n in changed if brackets[n].inside > ranked_at_once]
+    at = {n: q * (b.inside - 1) for n, b in brackets.items()}
+    while wide := {n: b for n, b in brackets.items() if b.inside > ranked_at_once and b.low < b.high}:
+        brackets |= _narrow(numbers, wide, at)
     found = _ranked(numbers, brackets, at)
     return {n: found.get(n) for n in names}
 
@@ -76,36 +82,46 @@ def _long(numbers: DataFrame, brackets: dict[str, _Bracket]) -> DataFrame:
     return numbers.select(*cells).unpivot([], list(brackets), "feature", "value").dropna()
 
 
+def _step(value: Column, low: Column, high: Column) -> Column:
+    """Which of ``_STEPS`` equal steps from ``low`` to ``high`` a value falls in.
+
+    Each operation keeps the order of its arguments, so steps are runs of neighbouring values. Halves
+    are taken so that differences don't overflow; the ends have their own branches.
+    """
+    part = (value / 2 - low / 2) / (high / 2 - low / 2)
+    inner = F.least(F.floor(part * _STEPS), F.lit(_STEPS - 1))
+    return F.when(value <= low, 0).when(value >= high, _STEPS - 1).otherwise(inner).cast("int")
+
+
 def _narrow(
     numbers: DataFrame, brackets: dict[str, _Bracket], at: dict[str, float]
 ) -> dict[str, _Bracket]:
-    grid = [i / _STEPS for i in range(_STEPS + 1)]
-    sketches = (
+    """For each column the step that holds the lower of the two ranks next to its quantile."""
+
+    def per_feature(values: dict[str, float]) -> Column:
+        pairs = [F.lit(x) for n, v in values.items() for x in (n, float(v))]
+        return F.create_map(*pairs)[F.col("feature")]
+
+    low = per_feature({n: max(b.low, -_LARGEST) for n, b in brackets.items()})
+    high = per_feature({n: min(b.high, _LARGEST) for n, b in brackets.items()})
+    counts = (
         _long(numbers, brackets)
-        .groupBy("feature")
-        .agg(F.percentile_approx("value", grid, _ACCURACY).alias("grid"))
-        .collect()  # one row per column
+        .groupBy("feature", _step(F.col("value"), low, high).alias("step"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .collect()  # at most _STEPS rows per column
     )
-    tries: dict[str, tuple[float, float]] = {}
-    for row in sketches:
-        b = brackets[row["feature"]]
-        share = (math.floor(at[row["feature"]]) - b.below) / b.inside
-        left = max(math.floor(share * _STEPS) - 1, 0)
-        right = min(math.ceil(share * _STEPS) + 1, _STEPS)
-        tries[row["feature"]] = (row["grid"][left], row["grid"][right])
-
-    counts = []
-    for n, (low, high) in tries.items():
-        c = F.col(f"`{n}`")
-        counts.append(F.count_if(c < low).alias(f"{n}|below"))
-        counts.append(F.count_if(c.between(low, high)).alias(f"{n}|inside"))
-    exact = numbers.agg(*counts).first().asDict()
-
-    narrowed = dict(brackets)
-    for n, (low, high) in tries.items():
-        below, inside = exact[f"{n}|below"], exact[f"{n}|inside"]
-        if below <= math.floor(at[n]) and math.ceil(at[n]) < below + inside:
-            narrowed[n] = _Bracket(below, inside, low, high)
+    narrowed = {}
+    for name, bracket in brackets.items():
+        below = bracket.below
+        rows = sorted((r for r in counts if r["feature"] == name), key=lambda r: r["step"])
+        for row, following in zip(rows, [*rows[1:], None]):
+            if math.floor(at[name]) < below + row["n"]:
+                break
+            below += row["n"]
+        above = bracket.above
+        if math.ceil(at[name]) >= below + row["n"] and following is not None:
+            above = following["low"]
+        narrowed[name] = _Bracket(below, row["n"], row["low"], row["high"], above)
     return narrowed
 
 
@@ -131,10 +147,9 @@ def _ranked(
         )
         .collect()  # one row per column
     )
-    return {
-        r["feature"]: r["lower"]
-        + (r["upper"] - r["lower"]) * (at[r["feature"]] - math.floor(at[r["feature"]]))
-        if r["upper"] != r["lower"]
-        else r["lower"]
-        for r in ranked
-    }
+    found = {}
+    for r in ranked:
+        name, low = r["feature"], r["lower"]
+        high = brackets[name].above if r["upper"] is None else r["upper"]
+        found[name] = low if high == low else low + (high - low) * (at[name] - math.floor(at[name]))
+    return found

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "hearthl
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hearthline-"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.ui.retainedExecutions", "5")
         .getOrCreate()

@@ -16,10 +16,10 @@ from hearthline.sources.lookups import (
     tidy_commune_stats,
     tidy_postal_map,
 )
-from hearthline.sources.stages import shared_folder, stage
+from hearthline.sources.stages import new_path, remove, scratch, shared_folder, stage
 
 __all__ = [
-    "RAW_TEXT_KEPT", "first_per_key", "lookups", "raw_types", "read_commune_stats", "read_listings_csv",
-    "read_postal_map", "read_table", "shared_folder", "stage", "tidy_commune_stats",
+    "RAW_TEXT_KEPT", "first_per_key", "lookups", "new_path", "raw_types", "read_commune_stats", "read_listings_csv",
+    "read_postal_map", "read_table", "remove", "scratch", "shared_folder", "stage", "tidy_commune_stats",
     "tidy_postal_map", "with_row_order", "write_table",
 ]

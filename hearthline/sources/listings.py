@@ -52,17 +52,20 @@ def read_listings_csv(
     spark: SparkSession,
     path: str | list[str],
     types: Mapping[str, str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     order_col: str | None = "row_ord",
 ) -> DataFrame:
     """Scan raw listings: comma CSV with a header, any number of files.
 
-    Quoted cells may hold line breaks, so a file is one task; write large exports as many
-    files, or pass ``multi_line=False`` where no cell has a break and Spark may split files.
+    Spark splits large files. A quoted cell with a line break then leaves a row without its last cells,
+    which is an error, not a row of nulls; pass ``multi_line=True`` for such files, which makes each file
+    one task, so write large exports as many files.
     """
     raw = (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
+        .option("columnPruning", multi_line)  # a row is checked whole
         .option("escape", '"')
         .option("enforceSchema", False)
         .csv(path)

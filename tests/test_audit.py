@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hearthline.operators import coordinates, nulling, prices
+from hearthline import settings as S
+from hearthline.operators import coordinates, dedup, nulling, prices
+from hearthline.operators.audit_report import audit_report
 from hearthline.plans import audit
 from hearthline.settings import Limits
 from tests.conftest import values
@@ -142,6 +144,38 @@ def test_audit_does_not_depend_on_partitioning(listings):
     assert one.listings.count() == many.listings.count()
 
 
+def test_report_uses_the_given_limits(listings):
+    limits = S.Limits(min_price=200_000, min_surface=100, max_garages=2)
+    done = audit(listings, limits=limits)
+    rows = {(r["step"], r["measure"]): r["rows"] for r in done.report.collect()}
+    price = F.col("price")
+    assert rows["price", "price_below_min"] == done.deduplicated.filter((price > 0) & (price < 200_000)).count()
+    assert rows["price", "rows_after"] == done.listings.count()
+    kept = done.deduplicated.filter((price >= 200_000) & (price <= done.cap))
+    assert rows["implausible", "livable_surface_below_min"] == kept.filter("livable_surface < 100").count()
+    assert rows["implausible", "garages_above_max"] == kept.filter("garages > 2").count()
+
+
+def test_report_and_duplicates_agree_on_nan_and_spelling(listings):
+    odd = listings.limit(50).withColumns({
+        "livable_surface": F.when(F.col("row_ord") % 2 == 0, F.lit(float("nan"))).cast("double"),
+        "price": F.when(F.col("row_ord") % 3 == 0, F.lit("50000.0")).otherwise(F.lit("50000")),
+    })
+    same = odd.drop(*[c for c in odd.columns if c not in ("property_id", "row_ord", "date_posted", "price", "livable_surface",
+        "latitude", "longitude", "garages", "facades", "number_of_floors", "floor")])
+    flat = same.withColumns({c: F.lit(4.0) for c in ("garages", "facades", "number_of_floors", "floor")}).withColumns(
+        {"latitude": F.lit(50.0), "longitude": F.lit(4.0)})
+    report = audit_report(flat, flat.withColumn("price", F.col("price").cast("double")), 60000.0)
+    rows = {(r["step"], r["measure"]): r["rows"] for r in report.collect()}
+    assert rows["safe_duplicates", "rows_after"] == dedup.remove_safe_duplicates(flat).count() == 1
+
+
+def test_report_reads_each_table_once_beside_the_distinct_count(listings):
+    done = audit(listings)
+    plan = done.report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 3
+
+
 def test_report_adds_up(listings):
     done = audit(listings)
     rows = {(r["step"], r["measure"]): r["rows"] for r in done.report.collect()}

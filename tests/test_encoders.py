@@ -21,6 +21,26 @@ def test_median_impute(frame):
     ]
 
 
+def test_fit_and_transform_read_text_alike(frame):
+    texts = ["5d", "1f", "7", " 8.0 ", "1e1", "NaN", "x", None]
+    df = frame([(i, t, t) for i, t in enumerate(texts)], "id int, a string, b string")
+    fitted = en.MedianImputer(inputCols=["a"]).fit(df).transform(df)
+    assert values(fitted, "id", "num_a") == [
+        (0, 8.0), (1, 8.0), (2, 7.0), (3, 8.0), (4, 10.0), (5, 8.0), (6, 8.0), (7, 8.0),
+    ]
+    zero = en.zero_fill(["a"]).transform(df)
+    assert [r[1] for r in values(zero, "id", "flag_a")] == [0.0, 0.0, 7.0, 8.0, 10.0, 0.0, 0.0, 0.0]
+    flags = frame([(1, True, 2), (2, False, None), (3, None, 0)], "id int, a boolean, b int")
+    assert values(en.zero_fill(["a", "b"]).transform(flags), "flag_a", "flag_b") == [(0.0, 0.0), (0.0, 0.0), (1.0, 2.0)]
+
+
+def test_free_text_is_no_category(frame):
+    df = frame([(f"note {i}",) for i in range(300)], "cat_a string")
+    with pytest.raises(ValueError, match="more than 100 categories"):
+        en.check_categories(df, ["a"], 100)
+    en.check_categories(df, ["a"], 400)
+
+
 def test_standardise_uses_the_population_deviation(frame):
     df = frame([(1, 1.0, 5.0), (2, 3.0, 5.0), (3, 8.0, 5.0)], "id int, a double, b double")
     got = values(en.Standardizer(inputCols=["a", "b"]).fit(df).transform(df), "id", "std_a", "std_b")

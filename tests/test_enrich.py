@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from hearthline.operators import lookup_join as lj
@@ -55,33 +56,51 @@ def test_commune_code(homes, codes):
 
 
 def test_repeated_keys_are_refused(homes, codes, stats):
-    with pytest.raises(ValueError, match="commune statistics"):
-        enrich_with_commune_stats(homes, codes, stats.union(stats))
-    with pytest.raises(ValueError, match="postal map"):
-        enrich_with_commune_stats(homes, codes.union(codes), stats)
+    for twice, what in (((codes, stats.union(stats)), "commune statistics"), ((codes.union(codes), stats), "postal map")):
+        with pytest.raises(PySparkException, match=what):
+            enrich_with_commune_stats(homes, *twice).collect()
 
 
-def test_large_lookups_are_not_broadcast(spark):
-    # A third of the rows has one key, another third has no match.
-    left = spark.range(3000).select(
-        "id",
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"),
-    )
-    lookup = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    small = lj.lookup_join(left, lookup, "k")
-    large = lj.lookup_join(left, lookup, "k", broadcast_rows=100, salts=4)
-    assert large.columns == small.columns
-    assert values(large, "id", "k", "v") == values(small, "id", "k", "v")
-    hinted = small._jdf.queryExecution().analyzed().toString()
-    salted = large._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted and "broadcast" not in salted and "_salt" in salted
-
-
-def test_null_keys_are_spread(spark):
-    left = spark.range(4000).select("id", F.lit(None).cast("long").alias("k"))
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64("id", "k"), F.lit(8)))
-    sizes = [r["count"] for r in salted.groupBy("_salt").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+@pytest.fixture
+def hot_keys(spark):
+    """A third of the rows has one key, another third has none."""
+    third = F.col("id") % 3
+    key = F.when(third == 0, 7).when(third == 1, F.col("id"))
+    left = spark.range(30_000, numPartitions=6).select("id", key.alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    lookup = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    return left, lookup
+
+
+def test_a_large_lookup_is_shuffled_and_hot_keys_are_split(spark, hot_keys):
+    left, lookup = hot_keys
+    small = values(lj.lookup_join(left, lookup, "k"), "id", "v")
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        joined = lj.lookup_join(left, lookup, "k")
+        assert values(joined, "id", "v") == small
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_no_job_runs_before_the_result_is_read(spark, homes, codes, stats):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    enrich_with_commune_stats(homes, codes, stats)
+    assert tracker.getJobIdsForGroup("planning") in ([], ())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.fixture

@@ -98,6 +98,24 @@ def test_posted_at(frame):
         fn.posted_at(df, "d", "ignore")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_dates_depend_on_the_text_alone(spark, frame, zone):
+    texts = ["12:30", "T12:30", "2024-01-01T00:30:00+02:00", "2024-01-01 00:30:00.25Z", "2024-1-5", "2024",
+             "15/03/2024", "2024-02-30", " 2024-03-01 ", "2024-03-01x", "5d"]
+    df = frame([(t,) for t in texts], "d string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        plain = [r[0] for r in df.select(fn.posted_at(df, "d")).collect()]
+        listed = [r[0] for r in df.select(fn.posted_at(df, "d", formats=["dd/MM/yyyy"])).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    want = [None, None, datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 1, 0, 30, 0, 250000), datetime(2024, 1, 5),
+            None, None, None, datetime(2024, 3, 1), None, None]
+    assert plain == want
+    assert listed == [*want[:6], datetime(2024, 3, 15), *want[7:]]
+
+
 def test_euros(frame):
     df = frame([(1234.5,), (1235.5,), (-1234567.2,), (0.4,)], "x double")
     got = [r[0] for r in df.select(fn.euros(F.col("x"))).collect()]

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from checks import inputs
 from hearthline import jobs, sources
 from hearthline import settings as S
-from hearthline.ml.training import FeatureGroups
 from hearthline.plans import audit
 
 
@@ -43,16 +42,14 @@ def test_from_raw_files_to_scored_listings(spark, files, listings):
     report = {(r["step"], r["measure"]): r["rows"] for r in sources.read_table(spark, at["report"]).collect()}
     assert report["price", "rows_after"] == direct.count()
 
-    jobs.main(["clean", "--audited", at["audited"], "--out", at["clean"]])
+    jobs.main(["clean", "--audited", at["audited"], "--out", at["clean"], "--on-bad-date", "null"])
     cleaned = sources.read_table(spark, at["clean"])
     assert {"post_year", "post_month"} <= set(cleaned.columns)
     assert not set(S.DROPPED_COLUMNS) & set(cleaned.columns)
 
-    present = [*cleaned.columns, "available_immediately", "epc_quality", "flooding_area_clean",
-               "statbel_commune_median", "statbel_transaction_count", "property_age"]
     done = jobs.train_job(
         spark, at["clean"], str(files / "postal.csv"), str(files / "communes.csv"), at["run"],
-        "random_forest", FeatureGroups().only(present), numTrees=3, maxDepth=4,
+        "random_forest", numTrees=3, maxDepth=4,
     )
     assert sources.read_table(spark, f"{at['run']}/metrics").count() == 2
     assert sources.read_table(spark, f"{at['run']}/worst").count() == 10

@@ -1,6 +1,9 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from hearthline import settings as S
@@ -17,7 +20,7 @@ def test_raw_scan(spark, tmp_path):
         "3, 30000.0 ,3.0,x, spaced ,<NA>,NULL,yes\n"
         "4,,,,,,,\n"
     )
-    df = sources.read_listings_csv(spark, str(file))
+    df = sources.read_listings_csv(spark, str(file), multi_line=True)
     assert df.columns[-2:] == ["vat", "row_ord"] and len(df.columns) == 9
     kinds = dict(df.dtypes)
     assert kinds["bedrooms"] == kinds["garden"] == "double" and kinds["vat"] == "string"
@@ -130,6 +133,29 @@ def test_a_cluster_gets_no_folder_of_its_own():
         sources.shared_folder(_Session("yarn"))
 
 
+def test_executors_of_their_own_need_the_setting():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        sources.shared_folder(_Session("local-cluster[2,1,1024]"))
+
+
+def test_scratch_removes_its_tables(spark, tmp_path):
+    outer = sources.stage(spark.range(2), "kept")
+    with pytest.raises(KeyError), sources.scratch(spark):
+        inner = sources.stage(spark.range(3), "gone")
+        folder = Path(inner.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists()
+        raise KeyError
+    assert not folder.exists() and outer.count() == 2
+
+
+def test_broken_rows_are_an_error_unless_lines_may_break(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,street,price\n1,"two\nlines",5\n2,x,6\n')
+    read = lambda **o: sources.read_listings_csv(spark, str(tmp_path / "a.csv"), types={}, **o)
+    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed"):
+        read().select("id").collect()
+    assert [r.street for r in read(multi_line=True).collect()] == ["two\nlines", "x"]
+
+
 def test_a_local_session_keeps_one_folder():
     session = _Session("local[2]")
     assert sources.shared_folder(session) == sources.shared_folder(session) == session.folder
