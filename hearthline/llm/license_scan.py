@@ -6,8 +6,9 @@ template whose diagonals lie close together (words put in or left out) are merge
 span is verified: the matched words themselves are equal, the votes cover enough of the template's
 k-grams, and the span in the text is not much longer than the template.
 
-The templates are a fixed short list, so Spark broadcasts their side of the join; matches are few, and
-texts are never shuffled.
+The templates are a short list; their side of the join is counted and broadcast, and no text or
+k-gram is shuffled but for the few matches. With a list beyond ``Settings.broadcast_rows`` k-grams Spark
+chooses the join.
 
 Defined results: a null or empty text has no words, no label and score 0; repeated rows get equal
 results, as votes are distinct per id and text; a null id is an id. Other columns are not read.
@@ -48,6 +49,7 @@ class Settings:
     slack: int = 2  # diagonals this far apart are neighbours
     coverage: float = 0.6  # of a template's k-grams
     stretch: float = 1.5  # of a span against its template
+    broadcast_rows: int = 100_000  # k-grams of all templates; beyond, the join is left to Spark
 
 
 def words_of(text: Column) -> Column:
@@ -79,6 +81,8 @@ def spans(docs: DataFrame, id: str = "doc_id", text: str = "text", templates=TEM
     every = words.select("id", "text_hash", F.posexplode(_grams("w", settings.k)).alias("at", "g"))
     every = every.select("id", "text_hash", "at", *[F.col(f"g.{n}").alias(n) for n in ("h", *[f"g{j}" for j in range(settings.k)])])
     places = template_places(docs.sparkSession, templates, settings)
+    if places.count() <= settings.broadcast_rows:
+        places = F.broadcast(places)
     same = F.col("h") == F.col("t_h")
     for j in range(settings.k):
         same &= F.col(f"g{j}") == F.col(f"t_g{j}")
