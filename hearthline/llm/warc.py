@@ -209,7 +209,10 @@ def read_records(index: DataFrame, payload: bool = False, settings: Settings = S
     names = [part.split()[0] for part in schema.split(", ")]
     types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
     part = F.floor(F.col("offset") / settings.task_bytes)
-    sorted_rows = index.select("file", "offset", "length").repartition("file", part).sortWithinPartitions("file", "offset")
+    # Index rows are small against what they point to: the bytes to read say how many tasks there are.
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, index.sparkSession.sparkContext.defaultParallelism, -(-total // settings.task_bytes))
+    sorted_rows = index.select("file", "offset", "length").repartition(tasks, "file", part).sortWithinPartitions("file", "offset")
 
     def read(batches):
         for batch in batches:
