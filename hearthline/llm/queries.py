@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, passages, quality, topk, url_filter, warc
+from hearthline.llm.oracles import ORACLES
 
 
 def importable(spark: SparkSession) -> None:
@@ -115,4 +116,4 @@ QUERIES = {
     "op10_passages": op10_passages,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "importable", "table"]
