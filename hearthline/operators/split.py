@@ -43,7 +43,8 @@ def split_train_test(
 
     The rows with the smallest digests are the test rows. Counts by digest prefix lead to the
     one prefix in which the last test row lies; only its rows are ranked, and the rest is a
-    filter on the digest. ``key`` must be unique. Reads ``df`` a few times (the key alone), so
+    filter on the digest. Only these rows, ``ranked_at_once`` at most as keys are unique, are ranked in
+    one task; a repeated key at the cut is an error. Reads ``df`` a few times (the key alone), so
     pass a stored table.
     """
     digests = df.select(row_digest(F.col(key), seed).alias("digest"))
