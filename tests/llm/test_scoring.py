@@ -167,3 +167,43 @@ def test_license_scan_beyond_the_broadcast_bound(frame):
     docs = frame([(1, "Released under the MIT License.")], "doc_id int, text string")
     settings = license_scan.Settings(broadcast_rows=0)
     assert [x.labels for x in license_scan.scan(docs, settings=settings).collect()] == ["mit"]
+
+
+def brute_spans(text, settings):
+    """Labels and best coverage by plain loops over all places and templates."""
+    words, k, found = plain(text), settings.k, []
+    for label, template in license_scan.TEMPLATES:
+        t = plain(template)
+        votes = sorted(
+            (i - j, i, j) for i in range(len(words) - k + 1) for j in range(len(t) - k + 1) if words[i : i + k] == t[j : j + k]
+        )
+        runs = []
+        for vote in votes:
+            if not runs or vote[0] - runs[-1][-1][0] > settings.slack:
+                runs.append([])
+            runs[-1].append(vote)
+        for run in runs:
+            covered = len({j for _, _, j in run}) / (len(t) - k + 1)
+            length = max(i for _, i, _ in run) + k - min(i for _, i, _ in run)
+            if covered >= settings.coverage and length <= settings.stretch * len(t):
+                found.append((label, covered))
+    return {label for label, _ in found}, max((c for _, c in found), default=0.0)
+
+
+def test_license_spans_agree_with_brute_force(frame):
+    r, settings, texts = random.Random(7), license_scan.Settings(), []
+    for i in range(80):
+        words = prose(r, r.randrange(30), 30).split()
+        for _ in range(r.randrange(4)):
+            notice = plain(r.choice(license_scan.TEMPLATES)[1])
+            for _ in range(r.randrange(5)):
+                at = r.randrange(len(notice))
+                notice = r.choice([notice[:at] + notice[at + 1 :], notice[:at] + ["new"] + notice[at:], notice[:at]]) or notice
+            words += notice + prose(r, r.randrange(9), 30).split()
+        texts.append(" ".join(words))
+    got = license_scan.scan(frame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    for x in got:
+        labels, score = brute_spans(texts[x.id], settings)
+        base = set(filter(None, x.base_labels.split(",")))
+        assert x.labels == ",".join(sorted(labels | base))
+        assert x.score == pytest.approx(1.0 if base else score)
