@@ -7,19 +7,19 @@ classes share are kept. Candidates then pass
 
 * the length filter: the smaller set has ``t`` times the n-grams of the larger;
 * the positional filter: what stands before and after the shared n-gram limits the overlap;
-* the suffix filter: 128 fixed pivots cut both sets; the differences of the part sizes add up to
-  a lower bound of the symmetric difference;
+* the suffix filter: fixed pivots cut both sets into parts of about 16; the differences of the part
+  sizes add up to a lower bound of the symmetric difference;
 
 and each pair that is left is verified on the whole sets.
 
-Links are wanted up to components, so pairs inside one component needn't be verified. Instead of all
-pairs of an n-gram, a round pairs each class with one partner per n-gram; components are computed, and
-n-grams whose classes are all in one component are done. When what is left is small (or after
-``Settings.rounds``), all its remaining pairs across components are verified, so no link between
-components is missed. A group of thousands of near copies thus costs pairs in proportion to its size.
+N-grams of few documents give all their pairs. For one of many documents, a round pairs each document
+with one partner per n-gram; components are computed, and n-grams whose documents are all in one
+component are done, as links are wanted up to components only. When the pairs that are left are few
+against the corpus (or after ``Settings.rounds``), they are all taken, so no link between components is
+missed. A group of thousands of near copies thus costs pairs in proportion to its size.
 
-Rarity comes from counts of all n-grams of all texts in ``2 ** rarity_bits`` hash buckets, a fixed
-size; any order that is the same for all classes gives the same links.
+Rarity comes from counts in ``2 ** rarity_bits`` hash buckets, a fixed size, of the n-grams that a task
+meets in several texts; any order that is the same for all documents gives the same links.
 
 Defined results: null and empty texts and texts without words have no set and link with nothing; a
 text with fewer words than ``n`` has its whole word sequence as the one n-gram; rows that repeat an id
@@ -41,16 +41,19 @@ from hearthline.llm.seeds import BUFFER_ROWS, MARK, SHARED, SINGLE, local_groups
 from hearthline.llm.textwords import SPACED, chunks, grams, words
 from hearthline.sources.stages import stage
 
-PIVOT_BITS = 7
+FEW = 4  # rows of one n-gram that a task sends as they are
+SMALL = 8  # documents of an n-gram up to which all pairs are taken at once
+KEY_BITS = 48  # of an n-gram's hash; a clash costs a candidate and changes no result
+NEED_BITS = 21  # slots of the filter for wanted texts
 
 
 @dataclass(frozen=True)
 class Settings:
     n: int = 5  # words
     percent: int = 75  # of the union
-    rarity_bits: int = 18
+    rarity_bits: int = 20
     rounds: int = 5
-    pairs_per_row: int = 4  # all pairs are verified once they are fewer than so many per row
+    pairs_per_ngram: float = 0.5  # pairs taken at once, against all n-grams of the corpus
 
 
 def _needed(percent: int, n: int) -> int:
@@ -77,6 +80,20 @@ def row_key(id: str, text: str) -> Column:
     return F.xxhash64(F.col(id), F.col(text))
 
 
+def part_sizes(s: np.ndarray) -> np.ndarray:
+    """Sizes of the parts of a set between fixed pivots, at most 255 each."""
+    bits = min(12, max(4, (len(s) // 16).bit_length()))
+    parts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(parts, 255).astype(np.uint8)
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their part sizes."""
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (one, two))
+    n = min(len(a), len(b))
+    return int(np.abs(a.reshape(n, -1).sum(axis=1) - b.reshape(n, -1).sum(axis=1)).sum())
+
+
 def _digests(sets):
     """128-bit digests of non-empty sets, as two longs each."""
     return [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64).tolist() for s in sets]
@@ -93,20 +110,31 @@ def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
         schema = schema.add(name, "long")
     schema = schema.add("profile", "binary")
 
+    def add(counts, held):
+        """Count the n-grams that stand in several of the held sets."""
+        hashes = np.sort(np.concatenate(held))
+        bounds = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        size = np.diff(np.append(bounds, len(hashes)))
+        low = (hashes[bounds[size > 1]] & np.uint64(buckets - 1)).astype(np.int64)
+        np.add.at(counts, low, size[size > 1])
+
     def run(batches):
-        counts, own = np.zeros(buckets, np.int64), None
+        counts, own, seen, held, waiting = np.zeros(buckets, np.int64), None, set(), [], 0
         for batch in batches:
             own = batch.column(1).type
             sets = list(ngram_sets(batch.column(2), settings.n))
             if not sets:
                 continue
             digests = [d if len(s) else [None, None] for s, d in zip(sets, _digests(sets))]
-            profile = [
-                np.minimum(np.bincount((s >> np.uint64(64 - PIVOT_BITS)).astype(np.int64), minlength=1 << PIVOT_BITS), 255).astype(np.uint8).tobytes()
-                for s in sets
-            ]
-            low = np.concatenate(sets) & np.uint64(buckets - 1)
-            counts += np.bincount(low.astype(np.int64), minlength=buckets)
+            profile = [part_sizes(s).tobytes() for s in sets]
+            for s, d in zip(sets, digests):
+                if len(s) and tuple(d) not in seen:
+                    seen.add(tuple(d))
+                    held.append(s)
+                    waiting += len(s)
+                if waiting >= BUFFER_ROWS:
+                    add(counts, held)
+                    held, waiting = [], 0
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.zeros(len(sets), np.int32)), batch.column(0), batch.column(1),
@@ -115,6 +143,8 @@ def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
                 ],
                 names=schema.fieldNames(),
             )
+        if held:
+            add(counts, held)
         at = np.flatnonzero(counts)
         if len(at):
             none = pa.nulls(len(at), pa.int64())
@@ -138,7 +168,7 @@ def _prefixes(docs: DataFrame, doc: Column, text: str, ranks, settings: Settings
 
     def grouped(key, doc, place):
         order, opens, size = local_groups(key, doc)
-        shared = size > 1
+        shared = size > FEW
         kind = np.where(shared, SHARED, SINGLE)
         mark = order[opens & shared]
         rows = np.concatenate([order, mark])
@@ -160,7 +190,7 @@ def _prefixes(docs: DataFrame, doc: Column, text: str, ranks, settings: Settings
                 prefix = n - _needed(settings.percent, n) + 1
                 often = rank[(s & mask).astype(np.int64)]
                 first = np.argsort(often, kind="stable")[:prefix]  # s is sorted: ties by hash
-                parts.append((s[first], own, n))
+                parts.append((s[first] & np.uint64((1 << KEY_BITS) - 1), own, n))
                 held += prefix
                 if held >= BUFFER_ROWS:
                     yield grouped(*_columns(parts))
@@ -178,21 +208,60 @@ def _columns(parts):
     return np.concatenate([k for k, _, _ in parts]), np.repeat(np.array([c for _, c, _ in parts], np.int64), size), place
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """The rows whose n-gram another document has as well."""
+def _alike(place: np.ndarray, place_b: np.ndarray, percent: int) -> np.ndarray:
+    """Length and positional filter of documents that share an n-gram."""
+    n, m, i, j = place >> 32, place_b >> 32, place & 0xFFFFFFFF, place_b & 0xFFFFFFFF
+    length = np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+    most = np.minimum(i, j) + np.minimum(n - i, m - j)
+    return length & (most * (100 + percent) >= (n + m) * percent)
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``doc, other`` of n-grams with few documents; ``key, doc, place`` rows of the others."""
+    names = ["key", "doc", "other", "place"]
+
+    def pairs(parts):
+        a, b = _distinct(*(np.concatenate([p[i] for p in parts]) for i in range(2)))
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), none], names=names)
 
     def run(batches):
+        parts, held = [], 0
         for table in whole_groups(batches):
-            key, kind = table["key"].to_numpy(), table["kind"].to_numpy()
-            met = kind != SHARED
+            key, doc, place, kind = (table[c].to_numpy() for c in ("key", "doc", "place", "kind"))
             opens = np.ones(len(key), bool)
             opens[1:] = key[1:] != key[:-1]
             group = np.cumsum(opens) - 1
-            size = np.bincount(group, weights=met)[group]
-            keep = (kind == SHARED) | ((kind == SINGLE) & (size > 1))
-            yield from table.filter(pa.array(keep)).select(["key", "doc", "place"]).to_batches()
+            met = np.bincount(group, weights=kind != SHARED)
+            marked = np.bincount(group, weights=kind == MARK) > 0
+            small = (met <= SMALL) & ~marked & (met == np.bincount(group))
+            many = (kind == SHARED) | ((kind == SINGLE) & ~small[group] & (met > 1)[group])
+            none = pa.nulls(int(many.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(doc[many]), none, pa.array(place[many])], names=names)
+            first, size = np.flatnonzero(opens), met.astype(np.int64)
+            for n in np.unique(size[small & (met > 1)]):
+                at = first[small & (size == n)]
+                for i in range(int(n) - 1):
+                    for j in range(i + 1, int(n)):
+                        fits = _alike(place[at + i], place[at + j], percent)
+                        a, b = doc[at + i][fits], doc[at + j][fits]
+                        parts.append((np.minimum(a, b), np.maximum(a, b)))
+                        held += len(a)
+            if held > BUFFER_ROWS:
+                yield pairs(parts)
+                parts, held = [], 0
+        if parts:
+            yield pairs(parts)
 
-    return spread_by_key(rows).mapInArrow(run, "key long, doc long, place long")
+    return spread_by_key(rows).mapInArrow(run, "key long, doc long, other long, place long")
 
 
 def _filters(percent: int) -> tuple[Column, Column]:
@@ -218,12 +287,12 @@ def _second(rows: DataFrame) -> DataFrame:
 class _Verifier:
     """Verified links among candidate pairs; fetches each class's set from its text once."""
 
-    def __init__(self, docs: DataFrame, id: str, text: str, classes: DataFrame, settings: Settings):
+    def __init__(self, docs: DataFrame, id: str, text: str, classes: DataFrame, repeated: bool, settings: Settings):
         self.docs, self.id, self.text, self.settings = docs, id, text, settings
-        self.classes, self.sets = classes, None
+        self.classes, self.repeated, self.sets = classes, repeated, None
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that pass the suffix filter."""
+        """Pairs that pass the length and the suffix filter."""
         info = self.classes.select("doc", "n", "profile")
         for side in "ab":
             own = info.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("profile").alias(f"p_{side}"))
@@ -232,47 +301,56 @@ class _Verifier:
 
         def run(batches):
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                one, two = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int16)
-                    for c in ("p_a", "p_b")
-                )
-                least = np.abs(one - two).sum(axis=1)
-                both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-                most = (both - least) // 2  # of the overlap
-                keep = most * (100 + percent) >= both * percent
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                n, m, one, two = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "p_a", "p_b"))
+                keep = [
+                    100 * min(x, y) >= percent * max(x, y)
+                    and (x + y - least_difference(p, q)) // 2 * (100 + percent) >= (x + y) * percent
+                    for x, y, p, q in zip(n, m, one, two)
+                ]
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return pairs.mapInArrow(run, "a long, b long")
 
     def _fetch(self, pairs: DataFrame) -> None:
-        need = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        need = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
         if self.sets is not None:
-            need = need.join(self.sets.select("doc"), "doc", "left_anti")
-        need = stage(need.join(self.classes.select("doc", "row"), "doc"), "needed-classes")
+            need = need.join(self.sets.select("row"), "row", "left_anti")
+        need = stage(need, "needed-rows")
         if need.isEmpty():
             return
-        n = self.settings.n
+        # A filter of fixed size turns most other texts away, so nothing needs to be shuffled here; the
+        # sets of a few texts more do no harm.
+        slots = 1 << NEED_BITS
+        slot = F.pmod(F.col("row"), F.lit(slots))
+        wanted = np.zeros(slots, bool)
+        wanted[need.select(slot.alias("s")).distinct().toArrow()["s"].to_numpy()] = True
+        shared, n = self.docs.sparkSession.sparkContext.broadcast(wanted), self.settings.n
 
         def run(batches):
+            wanted = shared.value
             for batch in batches:
+                batch = batch.filter(pa.array(wanted[batch.column(0).to_numpy() % slots]))
                 sets = [s.tobytes() for s in ngram_sets(batch.column(1), n)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.large_binary()).cast(pa.binary())], names=["doc", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["row", "set"])
 
         texts = self.docs.select(row_key(self.id, self.text).alias("row"), F.col(self.text).alias("__text"))
-        met = texts.join(need, "row").select("doc", "__text")
+        got = texts.mapInArrow(run, "row long, set binary")
         # Rows that repeat an id and a text share a row key: one of them is enough.
-        got = stage(met.mapInArrow(run, "doc long, set binary").dropDuplicates(["doc"]), "ngram-sets")
+        got = stage(got.dropDuplicates(["row"]) if self.repeated else got, "ngram-sets")
         self.sets = got if self.sets is None else self.sets.unionByName(got)
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        pairs = stage(self.near(pairs), "candidates")
+        """The links among ``pairs``."""
+        rows = self.classes.select("doc", "row")
+        for side in "ab":
+            own = rows.select(F.col("doc").alias(f"doc_{side}"), F.col("row").alias(side))
+            pairs = pairs.withColumnRenamed(side, f"doc_{side}").join(own, f"doc_{side}")
+        pairs = stage(pairs, "candidates")
         self._fetch(pairs)
         if self.sets is None:
-            return pairs
+            return pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
         for side in "ab":
-            pairs = pairs.join(self.sets.select(F.col("doc").alias(side), F.col("set").alias(f"s_{side}")), side)
+            pairs = pairs.join(self.sets.select(F.col("row").alias(side), F.col("set").alias(f"s_{side}")), side)
         percent = self.settings.percent
 
         def run(batches):
@@ -284,20 +362,32 @@ class _Verifier:
                     at[at == len(one)] = 0
                     same = int((one[at] == two).sum())
                     keep.append(same * (100 + percent) >= percent * (len(one) + len(two)))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                yield batch.select(["doc_a", "doc_b"]).filter(pa.array(keep, pa.bool_()))
+
+        found = pairs.mapInArrow(run, "doc_a long, doc_b long")
+        return stage(found.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), "links")
 
-        return stage(pairs.mapInArrow(run, "a long, b long"), "links")
 
+def _named(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component ``comp`` of ``doc``."""
+    if labels is None:
+        return rows.withColumn("comp", F.col("doc"))
+    own = labels.select(F.col("node").alias("doc"), F.col("component").alias("comp"))
+    return rows.join(own, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
 
-def _components(shared: DataFrame, verify: _Verifier, settings: Settings) -> DataFrame:
-    """``node, component`` of all classes that link with another one."""
-    links, left, labels = None, shared.withColumn("comp", F.col("doc")), None
+
+def _components(pairs: DataFrame, shared: DataFrame, verify: _Verifier, most_pairs: float, settings: Settings) -> DataFrame:
+    """``node, component`` of all documents that link with another one."""
+    links = labels = None
     for number in range(settings.rounds + 1):
+        now = _named(shared, labels)
+        open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        left = stage(now.join(open_, "key"), "open-ngrams")
         sizes = left.groupBy("key").agg(F.count("*").alias("n"))
-        rows, pairs = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
-        if not rows:
+        rows, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
+        if not rows and number:
             break
-        every = number == settings.rounds or pairs <= settings.pairs_per_row * rows
+        every = number == settings.rounds or (number > 0 and most <= most_pairs)
         if every:
             partner, apart = _second(left), (F.col("doc") < F.col("doc_b")) & (F.col("comp") != F.col("comp_b"))
         else:
@@ -307,15 +397,14 @@ def _components(shared: DataFrame, verify: _Verifier, settings: Settings) -> Dat
             best = F.min(F.struct(order.alias("o"), "doc", "place", "comp"))
             partner = _second(left.groupBy("key").agg(best.alias("x")).select("key", "x.doc", "x.place", "x.comp"))
             apart = F.col("comp") != F.col("comp_b")
-        found = verify.links(_pairs(left, partner, settings.percent, apart))
+        more = _pairs(left, partner, settings.percent, apart)
+        if number == 0:
+            more = pairs.unionByName(more).distinct()
+        found = verify.links(verify.near(more))
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         if every:
             break
-        named = labels.select(F.col("node").alias("doc"), F.col("component"))
-        now = shared.join(named, "doc", "left").select("key", "doc", "place", F.coalesce("component", "doc").alias("comp"))
-        open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        left = stage(now.join(open_, "key"), "open-ngrams")
     return labels
 
 
@@ -328,8 +417,9 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Sett
     # Whole-number ids that name one text each are used as they are, else a hash of id and text.
     members = found.where("kind = 0").drop("kind")
     whole = isinstance(members.schema["id"].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    twice = members.where("n > 0").groupBy("id").agg(F.min("row").alias("x"), F.max("row").alias("y")).where("id is null or x <> y")
-    whole = whole and twice.isEmpty()
+    own = members.where("n > 0").groupBy("id").agg(F.count("*").alias("n"), F.min("row").alias("x"), F.max("row").alias("y"))
+    odd, repeated = own.agg(F.count_if(F.expr("id is null or x <> y")), F.count_if(F.expr("n > 1"))).first()
+    whole = whole and not odd
     members = members.withColumn("doc", (F.col("id") if whole else F.col("row")).cast("long"))
     classes = members.where("n > 0").groupBy("one", "two").agg(
         F.min(F.struct("doc", "row")).alias("first"), F.min("n").alias("n"), F.min("profile").alias("profile"), F.min("id").alias("id")
@@ -338,18 +428,24 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Sett
 
     key = F.col(id) if whole else row_key(id, text)
     tokens = _prefixes(docs, key.cast("long"), text, docs.sparkSession.sparkContext.broadcast(rank), settings)
-    shared = stage(_shared(tokens), "shared-ngrams")
+    found = stage(_candidates(tokens, settings.percent), "ngram-candidates")
     named = members.where("n > 0").select("doc", "one", "two").distinct()
     named = named.join(classes.select("one", "two", F.col("doc").alias("class")), ["one", "two"])
-    shared = shared.join(named.select("doc", "class"), "doc").select("key", F.col("class").alias("doc"), "place").distinct()
-    shared = stage(shared, "shared-ngrams")
-    labels = _components(shared, _Verifier(docs, id, text, classes, settings), settings)
+    named = stage(named.select("doc", "class"), "class-names")
+    pairs = found.where("key is null").select(F.col("doc").alias("x"), F.col("other").alias("y")).distinct()
+    for side in "xy":
+        pairs = pairs.join(named.select(F.col("doc").alias(side), F.col("class").alias(f"class_{side}")), side)
+    pairs = pairs.where("class_x <> class_y").select(
+        F.least("class_x", "class_y").alias("a"), F.greatest("class_x", "class_y").alias("b")
+    ).distinct()
+    many = found.where("key is not null").join(named, "doc").select("key", F.col("class").alias("doc"), "place").distinct()
+    many = stage(many, "shared-ngrams")
+    ngrams = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    verify = _Verifier(docs, id, text, classes, repeated > 0, settings)
+    labels = _components(pairs, many, verify, settings.pairs_per_ngram * ngrams, settings)
 
     rooted = classes.select("one", "two", "id", F.col("doc").alias("node"))
-    if labels is not None:
-        rooted = rooted.join(labels, "node", "left")
-    else:
-        rooted = rooted.withColumn("component", F.lit(None).cast("long"))
+    rooted = rooted.join(labels, "node", "left")
     rooted = stage(rooted.select("one", "two", "id", F.coalesce("component", "node").alias("root")), "ngram-roots")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component"))
     rooted = rooted.join(smallest, "root").select("one", "two", "component")

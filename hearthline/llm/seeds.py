@@ -1,8 +1,8 @@
 """Finding equal 64-bit keys across all texts without an unbounded group.
 
-A task first groups the keys of its own texts. Rows of a key that the task holds several times are
-known to be shared and go on at once; only one of them also takes part in the exchange by key. So the
-exchange gets one row per key and task, however often a key occurs.
+A task first groups the keys of its own texts. Rows of a key that the task holds often are known to be
+shared and go on at once; only one of them also takes part in the exchange by key. So the exchange gets
+few rows per key and task, however often a key occurs.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-SINGLE, MARK, SHARED = 0, 1, 2  # of a row: alone in its task; stands for shared rows; shared
+SINGLE, MARK, SHARED = 0, 1, 2  # of a row: one of few in its task; stands for shared rows; shared
 BUFFER_ROWS = 4_000_000
 
 
