@@ -82,10 +82,22 @@ SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
 FROM f
 """
 
+_LINES = f"""
+WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) AS spot, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT doc_id, spot, line,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM l),
+many AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING COUNT(DISTINCT doc_id) >= 10)
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(many.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY spot) FILTER (many.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN many USING (key) GROUP BY doc_id
+"""
+
 ORACLES = {
     "op4_urls": _URLS,
     "op5_topk": _TOP,
     "op6_decontaminate": _LEAKS,
     "op8_jaccard": _JACCARD,
     "op9_warc": _ARCHIVES,
+    "op13_lines": _LINES,
 }

@@ -7,7 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, mixing, passages, quality, topk, url_filter, warc
+from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, line_dedup, mixing, passages, quality, topk
+from hearthline.llm import url_filter, warc
 from hearthline.llm.oracles import ORACLES
 
 
@@ -103,6 +104,11 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -114,6 +120,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_warc": op9_warc,
     "op10_passages": op10_passages,
+    "op13_lines": op13_lines,
 }
 
 __all__ = ["ORACLES", "QUERIES", "importable", "table"]
