@@ -163,6 +163,8 @@ def drop_lines(docs: DataFrame, text: str = "text", settings: Settings = Setting
     h1, h2 = _hash(F.col("key"))
     placed = placed.select("t1", "t2", "at", h1.alias("h1"), h2.alias("h2"))
     hits = placed.join(many, ["h1", "h2"], "left_semi").groupBy("t1", "t2").agg(F.collect_set("at").alias("hits"))
+    # Stored, so that the join below exchanges both sides plainly and can split the copies of one text.
+    hits = stage(hits, "line-hits")
     others = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
     rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("row"), _lines(text).alias("lines"), t1.alias("t1"), t2.alias("t2"))
     rows = rows.join(hits, ["t1", "t2"], "left")

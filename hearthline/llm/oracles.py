@@ -82,6 +82,40 @@ SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
 FROM f
 """
 
+def _crc32(c: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    byte = f"CAST('0x' || substr(hex(encode({c})), 2 * i + 1, 2) AS BIGINT)"
+    data = f"list_transform(range(octet_length(encode({c}))), lambda i: {byte})"
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {bits}), 4294967295)"
+
+
+_TRIE = rf"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+given AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS steps
+  FROM turns GROUP BY conv_id),
+cut AS (SELECT conv_id, steps, {_crc32('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM given),
+rebuilt AS (SELECT cut.conv_id, list_concat(coalesce(base.steps[1:h], []), cut.steps[h + 1:]) AS steps
+  FROM cut LEFT JOIN given base ON base.conv_id = cut.conv_id - cut.conv_id % 20),
+prefixes AS (SELECT conv_id, len(steps) AS n, d, steps[1:d] AS prefix, md5(CAST(to_json(steps[1:d]) AS VARCHAR)) AS node,
+    CASE WHEN d > 0 THEN md5(CAST(to_json(steps[1:d - 1]) AS VARCHAR)) END AS parent
+  FROM (SELECT conv_id, steps, unnest(range(len(steps) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT node, d, any_value(parent) AS parent, any_value(prefix) AS prefix, MIN(conv_id) AS conv_id,
+    COUNT(*) AS n_convs, COUNT(*) FILTER (n > d) AS longer,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends
+  FROM prefixes GROUP BY node, d),
+costs AS (SELECT *, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(list_filter(string_split_regex(prefix[d].text,
+    '{_SPACED}'), lambda x: x <> '')) END AS cost FROM nodes),
+above AS (SELECT cost, longer, md5(CAST(to_json(prefix[1:k]) AS VARCHAR)) AS node
+  FROM (SELECT *, unnest(range(d + 1)) AS k FROM costs)),
+sums AS (SELECT node, SUM(cost) AS saved, COUNT(*) FILTER (longer = 0) AS leaves FROM above GROUP BY node),
+children AS (SELECT parent AS node, COUNT(*) AS n FROM nodes GROUP BY parent)
+SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+  sums.leaves AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, nodes.ends AS ends_sha256
+FROM nodes JOIN sums USING (node) LEFT JOIN children USING (node) LEFT JOIN nodes up ON up.node = nodes.parent
+"""
+
 _LINES = f"""
 WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) AS spot, unnest(ls) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
@@ -99,5 +133,6 @@ ORACLES = {
     "op6_decontaminate": _LEAKS,
     "op8_jaccard": _JACCARD,
     "op9_warc": _ARCHIVES,
+    "op11_trie": _TRIE,
     "op13_lines": _LINES,
 }

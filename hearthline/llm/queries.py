@@ -7,9 +7,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, line_dedup, mixing, passages, quality, topk
-from hearthline.llm import url_filter, warc
+from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, line_dedup, mixing, passages, prefix_trie
+from hearthline.llm import quality, topk, url_filter, warc
 from hearthline.llm.oracles import ORACLES
+from hearthline.sources.stages import stage
 
 
 def importable(spark: SparkSession) -> None:
@@ -104,6 +105,17 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HEAD_TURNS = 3  # a rebuilt conversation takes so many turns of another one at most
+
+
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = stage(prefix_trie.sequences(table(spark, sf_dir, "conversations")), "conversations")
+    source = F.col("conv_id") - F.col("conv_id") % 20
+    length = F.crc32(F.col("conv_id").cast("string")) % (HEAD_TURNS + 1)
+    rebuilt = stage(prefix_trie.with_heads(convs, source, length, HEAD_TURNS), "rebuilt-conversations")
+    return prefix_trie.trie(rebuilt)
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -120,6 +132,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_warc": op9_warc,
     "op10_passages": op10_passages,
+    "op11_trie": op11_trie,
     "op13_lines": op13_lines,
 }
 
