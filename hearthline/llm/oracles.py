@@ -116,6 +116,28 @@ SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_co
 FROM nodes JOIN sums USING (node) LEFT JOIN children USING (node) LEFT JOIN nodes up ON up.node = nodes.parent
 """
 
+_SPELLING = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]{{7,}}')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run FROM runs),
+per AS (SELECT doc_id, run, COUNT(*) AS n FROM low GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc32("CAST(doc_id AS VARCHAR) || ':' || run")} AS h FROM per),
+cut AS (SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM hashed),
+words AS (SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING SUM(n) >= 2),
+without AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS m FROM without a JOIN without b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN without b ON a.word = b.rest
+  UNION SELECT b.word, a.word, a.n FROM words a JOIN without b ON a.word = b.rest),
+best AS (SELECT word, COUNT(*) AS n_near, list({{'m': -m, 'near': near}} ORDER BY -m, near)[1] AS top FROM pairs GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.m >= 10 * n THEN top.near END AS form,
+  CASE WHEN -top.m >= 10 * n THEN -top.m END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS held FROM forms UNION ALL
+  SELECT walk.word, forms.form FROM walk JOIN forms ON walk.held = forms.word WHERE forms.form IS NOT NULL),
+ends AS (SELECT walk.word, held AS root FROM walk JOIN forms ON held = forms.word WHERE form IS NULL)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
 _LINES = f"""
 WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) AS spot, unnest(ls) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
@@ -134,5 +156,6 @@ ORACLES = {
     "op8_jaccard": _JACCARD,
     "op9_warc": _ARCHIVES,
     "op11_trie": _TRIE,
+    "op12_spelling": _SPELLING,
     "op13_lines": _LINES,
 }

@@ -35,7 +35,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearthline.llm.mixing import size_of
-from hearthline.llm.seeds import whole_groups
 from hearthline.llm.textwords import mix, randoms
 from hearthline.sources.stages import stage
 

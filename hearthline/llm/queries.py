@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthline.llm import decontaminate, jaccard_join, langid, license_scan, line_dedup, mixing, passages, prefix_trie
-from hearthline.llm import quality, topk, url_filter, warc
+from hearthline.llm import quality, spelling, topk, url_filter, warc
 from hearthline.llm.oracles import ORACLES
 from hearthline.sources.stages import stage
 
@@ -116,6 +116,11 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(rebuilt)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+    return words.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -133,6 +138,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_passages": op10_passages,
     "op11_trie": op11_trie,
+    "op12_spelling": op12_spelling,
     "op13_lines": op13_lines,
 }
 
