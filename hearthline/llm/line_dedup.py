@@ -170,9 +170,9 @@ def drop_lines(docs: DataFrame, text: str = "text", settings: Settings = Setting
     rows = rows.join(hits, ["t1", "t2"], "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("hits"))
     kept = F.transform(left, lambda i: F.get(F.col("lines"), i))
-    return rows.select(
-        *[F.col("row").getField(c).alias(c) for c in others],
-        F.array_join(F.when(F.col("hits").isNull(), F.col("lines")).otherwise(kept), "\n").alias(text),
-        F.size("lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("hits"), F.lit(0)).cast("long").alias("n_dropped"),
+    rows = rows.select(
+        "row", F.array_join(F.when(F.col("hits").isNull(), F.col("lines")).otherwise(kept), "\n").alias("kept"),
+        F.size("lines").cast("long").alias("n"), F.coalesce(F.size("hits"), F.lit(0)).cast("long").alias("gone"),
     )
+    given = [F.col("row").getField(c).alias(c) for c in others]
+    return rows.select(*given, F.col("kept").alias(text), F.col("n").alias("n_lines"), F.col("gone").alias("n_dropped"))
