@@ -16,6 +16,7 @@ from hearthline.functions.numbers import (
     euros,
     number_sql,
     parse_number,
+    parse_number_sql,
     to_number,
 )
 from hearthline.functions.text import canonical_code, collapse_spaces, normalised, trimmed
@@ -23,6 +24,6 @@ from hearthline.functions.text import canonical_code, collapse_spaces, normalise
 __all__ = [
     "at_least", "canonical_code", "canonical_number", "collapse_spaces", "completeness", "euros",
     "is_true", "keep_unless_in", "nan_to_null", "nans_to_nulls", "normalised", "null_if", "number_sql", "parse_date",
-    "parse_number",
+    "parse_number", "parse_number_sql",
     "posted_at", "present", "to_number", "trimmed",
 ]

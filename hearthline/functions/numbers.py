@@ -17,6 +17,11 @@ def parse_number(c: Column) -> Column:
     return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
+def parse_number_sql(name: str) -> str:
+    """``parse_number`` of a text column as SQL text."""
+    return f"CASE WHEN `{name}` RLIKE r'{_NUMBER}' THEN TRY_CAST(`{name}` AS DOUBLE) END"
+
+
 def to_number(df: DataFrame, name: str) -> Column:
     """Column ``name`` as double, whatever its stored type."""
     c = F.col(f"`{name}`")

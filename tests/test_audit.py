@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from hearthline import settings as S
 from hearthline.operators import coordinates, dedup, nulling, prices
-from hearthline.operators.audit_report import audit_report
+from hearthline.operators.audit_report import audit_report, coordinate_flags
 from hearthline.plans import audit
 from hearthline.settings import Limits
 from tests.conftest import values
@@ -165,12 +165,15 @@ def test_report_and_duplicates_agree_on_nan_and_spelling(listings):
         "latitude", "longitude", "garages", "facades", "number_of_floors", "floor")])
     flat = same.withColumns({c: F.lit(4.0) for c in ("garages", "facades", "number_of_floors", "floor")}).withColumns(
         {"latitude": F.lit(50.0), "longitude": F.lit(4.0)})
-    report = audit_report(flat, flat.withColumn("price", F.col("price").cast("double")), 60000.0)
+    flagged, flags = coordinate_flags(flat)
+    keys = dedup.row_keys(flagged, groups=["safe"], flags=flags)
+    priced = flat.withColumn("price", F.col("price").cast("double"))
+    report = audit_report(keys, dedup.repeated_rows(keys, "safe"), priced, 60000.0)
     rows = {(r["step"], r["measure"]): r["rows"] for r in report.collect()}
     assert rows["safe_duplicates", "rows_after"] == dedup.remove_safe_duplicates(flat).count() == 1
 
 
-def test_report_reads_each_table_once_beside_the_distinct_count(listings):
+def test_report_reads_each_stored_table_once(listings):
     done = audit(listings)
     plan = done.report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 3
