@@ -401,6 +401,10 @@ BODIES = {
       ORDER BY ABS(predicted - actual) DESC NULLS LAST, property_id LIMIT 10""",
     "linear_cells": f"""WITH {LEAST_SQUARES} SELECT property_id, split, actual,
       ROUND(my + wa * (a - ma) + wb * (b - mb), 6) AS predicted_log FROM parted, w""",
+    "linear_collinear": f"""WITH {_priced('listings', 'priced')}, known AS (SELECT property_id, price AS actual,
+        LN(1 + price) AS y, COALESCE(category, 'Unknown') AS category FROM priced), {_split_of("known", "parted")},
+      means AS (SELECT category, AVG(y) AS predicted FROM parted WHERE split = 'train' GROUP BY 1)
+      SELECT property_id, split, actual, ROUND(predicted, 6) AS predicted_log FROM parted JOIN means USING (category)""",
     "forest_cells": f"WITH {CELL_MEANS} {_CELL_ROWS}",
     "boosted_cells": f"WITH {CELL_MEANS} {_CELL_ROWS}",
     "boosted_cells_metrics": f"""WITH {CELL_MEANS} SELECT split, ROUND(mae, 2) AS mae, ROUND(rmse, 2) AS rmse,
@@ -413,6 +417,8 @@ BODIES = {
     "price_quantile_narrowed": f"""SELECT COUNT(*) AS rows, quantile_cont({_num('price')}, 0.99) AS p99
       FROM listings""",
     "listings_in_order": """SELECT property_id, ROW_NUMBER() OVER (ORDER BY row_ord) - 1 AS place FROM listings""",
+    "group_numbers": f"""SELECT property_id, DENSE_RANK() OVER (ORDER BY {", ".join(
+        f"{_norm(c)} NULLS FIRST" for c in ("street", "category", "epc"))}) - 1 AS group_id FROM listings""",
     "ols_one_feature": f"""WITH p AS (SELECT property_id, livable_surface AS x, ln(1 + {_num('price')}) AS y
         FROM listings WHERE {_num('price')} >= 30000 AND livable_surface IS NOT NULL),
       f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM p)

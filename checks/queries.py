@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import commune_stats, listings, postal_map, table
@@ -25,6 +25,7 @@ from hearthline.operators.enrich import (
     enrich_with_commune_stats,
 )
 from hearthline.operators.lookup_join import lookup_join
+from hearthline.operators.numbering import group_ids, number_rows
 from hearthline.operators.quantiles import exact_quantiles
 from hearthline.operators.split import fold_of, split_train_test
 from hearthline.plans import audit, clean, engineer_features, prepare_cv, prepare_training
@@ -38,6 +39,7 @@ NUMBERS = (
     "garages", "number_of_floors",
 )
 HOT = ("property_type", "category", "availability")
+ALIKE = ("street", "category", "epc")
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -77,8 +79,14 @@ def listings_in_order(spark, sf):
     path = _folder(spark, "ordered")
     src.write_table(listings(spark, sf).select(ID, "row_ord"), path, order_col="row_ord")
     back = src.with_row_order(src.read_table(spark, path))
-    place = F.row_number().over(Window.orderBy("row_ord")) - 1
-    return back.select(ID, place.cast("long").alias("place"))
+    numbered = number_rows(back, ["row_ord"], "nth")
+    return numbered.select(ID, (F.col("nth") - 1).alias("place"))
+
+
+def group_numbers(spark, sf):
+    """Dense numbers of the look-alike texts of listings, missing ones equal."""
+    df = listings(spark, sf).select(ID, *[fn.normalised(F.col(c)).alias(c) for c in ALIKE])
+    return group_ids(df, ALIKE).select(ID, "group_id")
 
 
 def commune_stats_scan(spark, sf):
@@ -583,6 +591,17 @@ def linear_cells(spark, sf):
     )
 
 
+def linear_collinear(spark, sf):
+    """Least squares on a category and a coarser one, all values of both: many solutions, one prediction."""
+    df = listings(spark, sf)
+    kind = F.when(F.col("category").isin("house", "appartment"), "home").otherwise(F.col("category"))
+    df = prices.remove_invalid_price(df.select(ID, "price", "category", kind.alias("kind")))
+    ready = split_train_test(src.stage(df, "cells"), ID)
+    groups = training.FeatureGroups((), (), (), ("category", "kind"), (), {})
+    predictions = training.train(ready, "linear", groups, key=ID).predictions
+    return predictions.select(ID, "split", "actual", F.round(F.log1p("predicted"), 6).alias("predicted_log"))
+
+
 def forest_cells(spark, sf):
     return _predicted(_cells(spark, sf, "random_forest", FLAGS, numTrees=1, bootstrap=False, **WHOLE))
 
@@ -615,6 +634,6 @@ QUERIES: dict[str, Query] = {
         overfit_gaps, prediction_range, worst_errors, ols_one_feature, linear_predict,
         rf_predict, gbt_predict, gbt_metrics, model_roundtrip, linear_cells, forest_cells,
         boosted_cells, boosted_cells_metrics, audit_report_limits, price_quantile_narrowed,
-        listings_in_order,
+        listings_in_order, group_numbers, linear_collinear,
     )
 }
