@@ -292,6 +292,9 @@ BODIES = {
     "listings_csv_scan": "SELECT property_id, epc, street, availability, date_posted, "
     + ", ".join(f"{_num(c)} AS {c}" for c in ("price", "indoor_parking", *NUMBERS))
     + " FROM listings",
+    "listings_csv_line_breaks": f"""SELECT property_id, CASE WHEN property_id % 3 = 0
+      THEN street || chr(10) || chr(10) || '"bus" ' || property_id || chr(10) ELSE street END AS street, epc, availability,
+      {_num('price')} AS price FROM listings""",
     "audited_table_roundtrip": "SELECT property_id, price, category, livable_surface FROM listings",
     "commune_stats_scan": "SELECT * FROM commune_stats WHERE year = 2025",
     "postal_map_scan": f"WITH {LOOKUPS} SELECT * FROM first_codes",

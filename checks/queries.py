@@ -69,6 +69,18 @@ def listings_csv_scan(spark, sf):
     )
 
 
+def listings_csv_line_breaks(spark, sf):
+    """One file whose cells hold line breaks and quotes, read in several tasks."""
+    path = _folder(spark, "listings-line-breaks")
+    broken = F.expr("CASE WHEN property_id % 3 = 0 THEN concat(street, '\\n\\n\"bus\" ', property_id, '\\n') ELSE street END")
+    rows = listings(spark, sf).withColumn("street", broken).coalesce(1)
+    src.write_table(rows.drop("row_ord"), path, fmt="csv")
+    back = src.read_listings_csv(spark, path, multi_line=True)
+    return back.select(
+        F.col(ID).cast("long").alias(ID), "street", "epc", "availability", fn.to_number(back, "price").alias("price")
+    )
+
+
 def audited_table_roundtrip(spark, sf):
     path = _folder(spark, "listings")
     src.write_table(listings(spark, sf), path)
@@ -634,6 +646,6 @@ QUERIES: dict[str, Query] = {
         overfit_gaps, prediction_range, worst_errors, ols_one_feature, linear_predict,
         rf_predict, gbt_predict, gbt_metrics, model_roundtrip, linear_cells, forest_cells,
         boosted_cells, boosted_cells_metrics, audit_report_limits, price_quantile_narrowed,
-        listings_in_order, group_numbers, linear_collinear,
+        listings_in_order, listings_csv_line_breaks, group_numbers, linear_collinear,
     )
 }

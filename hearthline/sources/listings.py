@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthline import settings as S
 from hearthline.functions import canonical_code, canonical_number, parse_number
+from hearthline.sources.csv_records import read_records
 
 # The audit itself decides what in these is a number, so the scan leaves their text alone.
 RAW_TEXT_KEPT = (
@@ -58,21 +59,22 @@ def read_listings_csv(
     """Scan raw listings: comma CSV with a header, any number of files.
 
     Spark splits large files. A quoted cell with a line break then leaves a row without its last cells,
-    which is an error, not a row of nulls; pass ``multi_line=True`` for such files, which makes each file
-    one task, so write large exports as many files.
+    which is an error, not a row of nulls; pass ``multi_line=True`` for such files: they are split too, and
+    records are put together again over lines and blocks, for which the files are read three times.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
-        .option("columnPruning", multi_line)  # a row is checked whole
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    names = raw.columns
-    if order_col:
-        raw = with_row_order(raw, order_col)
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+    if multi_line:
+        names = reader.option("multiLine", True).csv(path).columns
+        schema = ", ".join(f"`{n}` STRING" for n in names)
+        row = F.from_csv("text", schema, {"escape": '"', "mode": "PERMISSIVE"}).alias("row")
+        raw = read_records(spark, path).select(row, F.col("place"))
+        raw = raw.select("row.*", *([F.col("place").alias(order_col)] if order_col else []))
+    else:
+        # A row is checked whole.
+        raw = reader.option("mode", "FAILFAST").option("columnPruning", False).csv(path)
+        names = raw.columns
+        if order_col:
+            raw = with_row_order(raw, order_col)
     types = raw_types() if types is None else types
     cells = [_cell(n, types.get(n)).alias(n) for n in names]
     return raw.select(*cells, *([order_col] if order_col else []))
