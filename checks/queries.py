@@ -264,6 +264,16 @@ def price_quantile_narrowed(spark, sf):
     return prices_.agg(F.count("*").alias("rows"), F.lit(cap).alias("p99"))
 
 
+def price_cap_approx(spark, sf):
+    """Whether the ranks of the approximate cap lie within its bound of the wanted rank."""
+    df = listings(spark, sf)
+    found = df.select(fn.to_number(df, "price").alias("price")).where("price IS NOT NULL")
+    cap = prices.price_cap(df, approx=True)
+    n, off = F.count("*"), F.count("*") / 10_000 + 1
+    below, upto = F.count_if(F.col("price") < cap), F.count_if(F.col("price") <= cap)
+    return found.agg(n.alias("rows"), ((below <= 0.99 * n + off) & (upto >= 0.99 * n - off)).alias("within"))
+
+
 def audit_listings(spark, sf):
     return audit(listings(spark, sf)).listings
 
@@ -614,6 +624,14 @@ def linear_collinear(spark, sf):
     return predictions.select(ID, "split", "actual", F.round(F.log1p("predicted"), 6).alias("predicted_log"))
 
 
+def cross_validated_cells(spark, sf):
+    """Errors per fold of trees grown to every cell of three flags, each fold by the other four."""
+    df = prices.remove_invalid_price(listings(spark, sf).select(ID, "price", *FLAGS))
+    groups = training.FeatureGroups((), FLAGS, (), (), (), {})
+    done = training.cross_validate(df, "random_forest", groups, key=ID, numTrees=1, bootstrap=False, **WHOLE)
+    return evaluate.rounded(done.by_fold)
+
+
 def forest_cells(spark, sf):
     return _predicted(_cells(spark, sf, "random_forest", FLAGS, numTrees=1, bootstrap=False, **WHOLE))
 
@@ -646,6 +664,6 @@ QUERIES: dict[str, Query] = {
         overfit_gaps, prediction_range, worst_errors, ols_one_feature, linear_predict,
         rf_predict, gbt_predict, gbt_metrics, model_roundtrip, linear_cells, forest_cells,
         boosted_cells, boosted_cells_metrics, audit_report_limits, price_quantile_narrowed,
-        listings_in_order, listings_csv_line_breaks, group_numbers, linear_collinear,
+        price_cap_approx, cross_validated_cells, listings_in_order, listings_csv_line_breaks, group_numbers, linear_collinear,
     )
 }

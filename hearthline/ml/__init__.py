@@ -19,11 +19,11 @@ from hearthline.ml.models import (
     linear_regression,
     random_forest,
 )
-from hearthline.ml.training import fit_price_model, load_model, save_model, train
+from hearthline.ml.training import cross_validate, fit_price_model, load_model, save_model, train
 
 __all__ = [
     "FULL_DEPTH", "CrossFitTargetEncoder", "CrossFitTargetEncoderModel", "MedianImputer", "Standardizer",
-    "boosted_trees", "fit_price_model", "linear_regression", "load_model", "metrics",
+    "boosted_trees", "cross_validate", "fit_price_model", "linear_regression", "load_model", "metrics",
     "overfit_gaps", "prediction_range", "random_forest", "save_model", "score", "train",
     "worst_errors",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -193,6 +194,59 @@ def train(
     )
 
 
+@dataclass(frozen=True)
+class CrossValidated:
+    """Predictions of each row by the model that did not see its fold, and the errors per fold."""
+
+    predictions: DataFrame
+    by_fold: DataFrame
+
+    @property
+    def summary(self) -> DataFrame:
+        """Mean and spread of each measure over the folds, one row."""
+        measures = ("mae", "rmse", "r2")
+        return self.by_fold.agg(
+            *[f(m).alias(f"{m}_{n}") for m in measures for n, f in (("mean", F.avg), ("std", F.stddev_samp))]
+        )
+
+
+def cross_validate(
+    rows: DataFrame,
+    kind: str = "boosted_trees",
+    groups: FeatureGroups | None = None,
+    key: str = ROW_KEY,
+    folds: int = S.CV_FOLDS,
+    fold_col: str | None = None,
+    **overrides,
+) -> CrossValidated:
+    """Fit one kind of model per fold, encoders included, on all other folds, and score it on its own.
+
+    Takes the table of ``prepare_cv``. ``fold_col`` names given folds (a few whole numbers; rows without one take no part);
+    else a seeded hash of ``key`` deals rows into ``folds``, apart from the folds of the target encoder.
+    The columns that the model reads are stored once, and each fold's predictions.
+    """
+    groups = groups or FeatureGroups()
+    linear = kind == "linear"
+    fold = F.col(fold_col) if fold_col else fold_of(F.col(key), folds, S.SEED + 1)
+    own = dict.fromkeys([key, S.TARGET, *groups.columns()])
+    stored = stage(rows.select(*own, fold.cast("int").alias("cv_fold")), "cross-validation")
+    numbers = sorted(r[0] for r in stored.where("cv_fold IS NOT NULL").select("cv_fold").distinct().collect())
+    if len(numbers) < 2:
+        raise ValueError("cross-validation needs rows in two folds at least")
+    parts = []
+    for k in numbers:
+        model = fit_price_model(
+            stored.where(F.col("cv_fold") != k), REGRESSORS[kind](**overrides), groups,
+            scale_numbers=linear, ordinal_as_categories=linear, key=key,
+        )
+        scored = score(model, stored.where(F.col("cv_fold") == k)).select(
+            key, F.col("cv_fold").alias("fold"), to_number(stored, S.TARGET).alias("actual"), "predicted"
+        )
+        parts.append(stage(scored, "fold-predictions"))
+    predictions = reduce(DataFrame.unionByName, parts)
+    return CrossValidated(predictions, metrics(predictions, by="fold"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

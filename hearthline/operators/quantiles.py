@@ -74,6 +74,21 @@ def exact_quantiles(
     return {n: found.get(n) for n in names}
 
 
+def approximate_quantiles(
+    df: DataFrame, columns: Iterable[str], q: float, accuracy: int = 10_000
+) -> dict[str, float | None]:
+    """A value near the ``q`` quantile of each column, in one pass; ``None`` if all are missing.
+
+    Tasks summarise their rows in sketches of bounded size, which are merged. The value is one of the
+    column's, and its rank is off by at most ``1 / accuracy`` of the rows.
+    """
+    names = list(columns)
+    if not names:
+        return {}
+    found = df.agg(*[F.percentile_approx(to_number(df, n), q, accuracy).alias(n) for n in names]).first()
+    return {n: found[n] for n in names}
+
+
 def _long(numbers: DataFrame, brackets: dict[str, _Bracket]) -> DataFrame:
     """One (feature, value) row per value that lies in its feature's bracket."""
     cells = [

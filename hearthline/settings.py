@@ -123,6 +123,7 @@ MISSING_TOKENS = (
 SEED = 13
 TEST_SHARE = 0.2
 ENCODER_FOLDS = 5
+CV_FOLDS = 5
 
 
 @dataclass(frozen=True)

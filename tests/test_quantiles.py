@@ -33,6 +33,17 @@ def test_against_numpy(frame, q, at_once):
         assert got[n] == pytest.approx(want, rel=1e-12), n
 
 
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.99])
+def test_an_approximate_quantile_keeps_its_rank_error(frame, q):
+    rng = random.Random(7)
+    values = sorted(rng.choice([rng.gauss(0, 1), 3.0]) for _ in range(5000))
+    df = frame([(v, None) for v in values] + [(None, None)], "x double, y double").repartition(6)
+    got = quantiles.approximate_quantiles(df, ["x", "y"], q, accuracy=200)
+    assert got["y"] is None and got["x"] in values
+    below, upto = sum(v < got["x"] for v in values), sum(v <= got["x"] for v in values)
+    assert below <= q * 5000 + 26 and upto >= q * 5000 - 26
+
+
 def test_narrowing_ranks_few_rows(spark, monkeypatch):
     ranked = []
     original = quantiles._ranked
