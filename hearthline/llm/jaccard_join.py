@@ -14,12 +14,25 @@ and each pair that is left is verified on the whole sets.
 
 N-grams of few documents give all their pairs. For one of many documents, a round pairs each document
 with one partner per n-gram; components are computed, and n-grams whose documents are all in one
-component are done, as links are wanted up to components only. When the pairs that are left are few
-against the corpus (or after ``Settings.rounds``), they are all taken, so no link between components is
-missed. A group of thousands of near copies thus costs pairs in proportion to its size.
-
-Rarity comes from counts in ``2 ** rarity_bits`` hash buckets, a fixed size, of the n-grams that a task
-meets in several texts; any order that is the same for all documents gives the same links.
+component are done, as links are wanted up to components only. N-grams that are still open after
+``Settings.rounds`` are taken apart by levels, so that no large group's pairs are ever all taken:
+
+* if at most 8 documents of an n-gram are outside its largest component, they meet the others;
+* else the smallest set of an open n-gram's documents is its pivot, and the overlap of every other set with the
+  pivot is counted;
+* a set has the same overlap with the pivot at most, and sets alike with the pivot are one component. For
+  two others, of which one isn't alike with the pivot, the n-grams of the pivot alone can't make a
+  link, since no set is smaller: they must share n-grams that the pivot lacks, at least as many as
+  the overlap with the pivot falls short;
+* so the rare first of the n-grams that the pivot lacks are the next level's n-grams, kept apart by pivot.
+
+The pivot has none of them and leaves, so the levels end, and no link between components is missed. A
+group of thousands of near copies costs pairs in proportion to its size.
+
+Rarity comes from counts of all n-grams of the distinct sets of each task in ``2 ** rarity_bits`` hash
+buckets, a fixed size; so it doesn't depend on how rows are dealt to tasks, but for copies. An n-gram
+stands out once it is in more documents than a bucket holds on average; any order that is the same for
+all documents gives the same links.
 
 Defined results: null and empty texts and texts without words have no set and link with nothing; a
 text with fewer words than ``n`` has its whole word sequence as the one n-gram; rows that repeat an id
@@ -38,22 +51,23 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from hearthline.llm.components import components
 from hearthline.llm.seeds import BUFFER_ROWS, MARK, SHARED, SINGLE, local_groups, spread_by_key, whole_groups
-from hearthline.llm.textwords import SPACED, chunks, grams, words
+from hearthline.llm.textwords import SPACED, chunks, grams, mix, words
 from hearthline.sources.stages import stage
 
+SLICES = 256  # of the buckets; each is summed in one task
 FEW = 4  # rows of one n-gram that a task sends as they are
 SMALL = 8  # documents of an n-gram up to which all pairs are taken at once
 KEY_BITS = 48  # of an n-gram's hash; a clash costs a candidate and changes no result
 NEED_BITS = 21  # slots of the filter for wanted texts
+SALTED = 4096  # documents of a pivot that a task compares with it
 
 
 @dataclass(frozen=True)
 class Settings:
     n: int = 5  # words
     percent: int = 75  # of the union
-    rarity_bits: int = 20
-    rounds: int = 5
-    pairs_per_ngram: float = 0.5  # pairs taken at once, against all n-grams of the corpus
+    rarity_bits: int = 22
+    rounds: int = 2  # of single partners, before open n-grams are taken apart
 
 
 def _needed(percent: int, n: int) -> int:
@@ -100,7 +114,8 @@ def _digests(sets):
 
 
 def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFrame:
-    """Kind 0: a row per document with the digest of its set. Kind 1: counts ``n`` of bucket ``one``."""
+    """Kind 0: a row per document with the digest of its set. Kind 1: counts of slice ``one`` of the buckets,
+    as pairs of place and count in ``profile``."""
     buckets = 1 << settings.rarity_bits
     source = docs.select(row_key(id, text).alias("row"), F.col(id).alias("id"), F.col(text).alias("__text"))
     schema = T.StructType([T.StructField("kind", T.IntegerType())])
@@ -111,15 +126,11 @@ def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
     schema = schema.add("profile", "binary")
 
     def add(counts, held):
-        """Count the n-grams that stand in several of the held sets."""
-        hashes = np.sort(np.concatenate(held))
-        bounds = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        size = np.diff(np.append(bounds, len(hashes)))
-        low = (hashes[bounds[size > 1]] & np.uint64(buckets - 1)).astype(np.int64)
-        np.add.at(counts, low, size[size > 1])
+        low = (np.concatenate(held) & np.uint64(buckets - 1)).astype(np.int64)
+        counts += np.bincount(low, minlength=buckets).astype(np.uint32)
 
     def run(batches):
-        counts, own, seen, held, waiting = np.zeros(buckets, np.int64), None, set(), [], 0
+        counts, own, seen, held, waiting = np.zeros(buckets, np.uint32), None, set(), [], 0
         for batch in batches:
             own = batch.column(1).type
             sets = list(ngram_sets(batch.column(2), settings.n))
@@ -145,17 +156,43 @@ def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
             )
         if held:
             add(counts, held)
-        at = np.flatnonzero(counts)
-        if len(at):
-            none = pa.nulls(len(at), pa.int64())
+        width = buckets // SLICES
+        for number in range(SLICES if seen else 0):
+            part = counts[number * width : (number + 1) * width]
+            at = np.flatnonzero(part).astype(np.uint32)
+            none, one = pa.nulls(1, pa.int64()), pa.array([number], pa.int64())
+            packed = pa.array([np.stack([at, part[at]]).tobytes()], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(at), np.int32)), none, pa.nulls(len(at), own), pa.array(counts[at]), pa.array(at), none, pa.nulls(len(at), pa.binary())],
-                names=schema.fieldNames(),
+                [pa.array([1], pa.int32()), none, pa.nulls(1, own), none, one, none, packed], names=schema.fieldNames()
             )
 
     return source.mapInArrow(run, schema)
 
 
+def _rarity(slices: DataFrame, bits: int) -> np.ndarray:
+    """The counts of all buckets, from the packed ``slices`` of the tasks; a fixed size."""
+    width = (1 << bits) // SLICES
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at, count = np.frombuffer(packed, np.uint32).reshape(2, -1)
+                total = sums.setdefault(number, np.zeros(width, np.int64))
+                total[at] += count
+        for number, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())],
+                names=["one", "profile"],
+            )
+
+    out = np.zeros(1 << bits, np.uint32)
+    summed = slices.repartition("one").mapInArrow(run, "one long, profile binary").toArrow()
+    for number, packed in zip(summed["one"].to_pylist(), summed["profile"].to_pylist()):
+        out[number * width : (number + 1) * width] = np.frombuffer(packed, np.uint32)
+    return out
+
+
 _TOKENS = "key long, doc long, place long, kind int"
 
 
@@ -287,9 +324,9 @@ def _second(rows: DataFrame) -> DataFrame:
 class _Verifier:
     """Verified links among candidate pairs; fetches each class's set from its text once."""
 
-    def __init__(self, docs: DataFrame, id: str, text: str, classes: DataFrame, repeated: bool, settings: Settings):
+    def __init__(self, docs: DataFrame, id: str, text: str, classes: DataFrame, repeated: bool, ranks, settings: Settings):
         self.docs, self.id, self.text, self.settings = docs, id, text, settings
-        self.classes, self.repeated, self.sets = classes, repeated, None
+        self.classes, self.repeated, self.ranks, self.sets = classes, repeated, ranks, None
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs that pass the length and the suffix filter."""
@@ -334,7 +371,7 @@ class _Verifier:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["row", "set"])
 
         texts = self.docs.select(row_key(self.id, self.text).alias("row"), F.col(self.text).alias("__text"))
-        got = texts.mapInArrow(run, "row long, set binary")
+        got = texts.mapInArrow(run, "row long, set binary").join(need, "row", "left_semi")
         # Rows that repeat an id and a text share a row key: one of them is enough.
         got = stage(got.dropDuplicates(["row"]) if self.repeated else got, "ngram-sets")
         self.sets = got if self.sets is None else self.sets.unionByName(got)
@@ -368,6 +405,53 @@ class _Verifier:
         return stage(found.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), "links")
 
 
+    def rest(self, pairs: DataFrame) -> DataFrame:
+        """Sets against their pivots, of distinct pairs ``pivot, doc``: a row with a null ``key`` for a link, and a row
+        ``key, doc, place`` for each of the first n-grams that the pivot lacks."""
+        rows = self.classes.select("doc", "row")
+        of_pivot = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
+        of_pivot = of_pivot.join(rows.select(F.col("doc").alias("pivot"), F.col("row").alias("b")), "pivot")
+        pairs = stage(pairs.join(rows.withColumnRenamed("row", "a"), "doc").join(of_pivot, "pivot"), "pivots")
+        self._fetch(pairs)
+        if self.sets is None:
+            return pairs.select(F.lit(None).cast("long").alias("key"), "doc", "pivot", F.lit(0).cast("long").alias("place"))
+        salted = pairs.select("pivot", "b", "salts").distinct().join(self.sets.withColumnsRenamed({"row": "b", "set": "s_b"}), "b")
+        salted = salted.select("pivot", "s_b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        own = pairs.withColumn("salt", F.pmod(F.xxhash64("doc"), "salts").cast("int"))
+        own = own.select("a", "doc", "pivot", "salt").join(self.sets.withColumnsRenamed({"row": "a", "set": "s_a"}), "a")
+        percent, ranks = self.settings.percent, self.ranks
+        mask = np.uint64((1 << self.settings.rarity_bits) - 1)
+
+        def run(batches):
+            rank = ranks.value
+            for batch in batches:
+                columns = [[np.zeros(0, np.int64)] for _ in range(4)]
+                for doc, pivot, one, two in zip(*(batch.column(c).to_pylist() for c in ("doc", "pivot", "s_a", "s_b"))):
+                    one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                    at = np.searchsorted(two, one)
+                    at[at == len(two)] = 0
+                    other = one[two[at] != one]
+                    n, m, same = len(one), len(two), len(one) - len(other)
+                    short = 1
+                    alike = same * (100 + percent) >= percent * (n + m)
+                    if not alike:
+                        short = -(-percent * (n + max(m, _needed(percent, n))) // (100 + percent)) - same
+                    first = np.argsort(rank[(other & mask).astype(np.int64)], kind="stable")[: max(0, len(other) - short + 1)]
+                    key = mix(other[first] + mix(np.array([pivot]).view(np.uint64))).view(np.int64)
+                    key = np.concatenate([key, np.zeros(int(alike), np.int64)])
+                    place = np.full(len(key), n << 32)
+                    place[len(first) :] = -1
+                    for column, values in zip(columns, (key, np.full(len(key), doc), np.full(len(key), pivot), place)):
+                        column.append(values)
+                key, doc, pivot, place = (np.concatenate(c) for c in columns)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key, mask=place < 0), pa.array(doc), pa.array(pivot), pa.array(place)], names=["key", "doc", "pivot", "place"]
+                )
+
+        met = own.join(salted, ["pivot", "salt"]).select("doc", "pivot", "s_a", "s_b")
+        return stage(met.mapInArrow(run, "key long, doc long, pivot long, place long"), "rest-ngrams")
+
+
 def _named(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """``rows`` with the component ``comp`` of ``doc``."""
     if labels is None:
@@ -376,44 +460,56 @@ def _named(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(own, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
 
 
-def _components(pairs: DataFrame, shared: DataFrame, verify: _Verifier, most_pairs: float, settings: Settings) -> DataFrame:
+def _components(pairs: DataFrame, shared: DataFrame, verify: _Verifier, settings: Settings) -> DataFrame:
     """``node, component`` of all documents that link with another one."""
     links = labels = None
-    for number in range(settings.rounds + 1):
+    number = 0
+    while True:
         now = _named(shared, labels)
-        open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        order = F.col("doc") if number == 0 else F.xxhash64("key", "doc", F.lit(number))
+        parts = now.groupBy("key", "comp").agg(
+            F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "doc", "place", "comp")).alias("one"),
+            F.min(F.struct(F.shiftright("place", 32).alias("n"), "doc")).alias("least"),
+        )
+        groups = parts.groupBy("key").agg(
+            F.count("*").alias("comps"), F.sum("n").alias("met"), F.max(F.struct("n", "comp")).alias("top"),
+            F.min("one").alias("one"), F.min("least").alias("least"),
+        )
+        open_ = groups.where("comps > 1").select(
+            "key", (F.col("met") - F.col("top.n") <= SMALL).alias("few"), F.col("top.comp").alias("top"), F.col("one.doc").alias("doc_b"),
+            F.col("one.place").alias("place_b"), F.col("one.comp").alias("comp_b"), F.col("least.doc").alias("pivot"),
+        )
         left = stage(now.join(open_, "key"), "open-ngrams")
-        sizes = left.groupBy("key").agg(F.count("*").alias("n"))
-        rows, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
-        if not rows and number:
-            break
-        every = number == settings.rounds or (number > 0 and most <= most_pairs)
-        if every:
-            partner, apart = _second(left), (F.col("doc") < F.col("doc_b")) & (F.col("comp") != F.col("comp_b"))
-        else:
+        if number and left.isEmpty():
+            return labels
+        last = number >= settings.rounds
+        if not last:
             # One partner for each n-gram: the same for most n-grams of a group at first, then
             # another one for each n-gram.
-            order = F.col("doc") if number == 0 else F.xxhash64("key", "doc", F.lit(number))
-            best = F.min(F.struct(order.alias("o"), "doc", "place", "comp"))
-            partner = _second(left.groupBy("key").agg(best.alias("x")).select("key", "x.doc", "x.place", "x.comp"))
-            apart = F.col("comp") != F.col("comp_b")
-        more = _pairs(left, partner, settings.percent, apart)
-        if number == 0:
-            more = pairs.unionByName(more).distinct()
+            length, position = _filters(settings.percent)
+            met = left.where((F.col("comp") != F.col("comp_b")) & length & position)
+            more = met.select(F.least("doc", "doc_b").alias("a"), F.greatest("doc", "doc_b").alias("b"))
+        else:
+            # Few documents outside the largest component of an n-gram meet all its documents.
+            few = left.where("few").select("key", "doc", "place", "comp", "top")
+            apart = (F.col("comp") != F.col("comp_b")) & ((F.col("comp_b") == F.col("top")) | (F.col("doc") < F.col("doc_b")))
+            more = _pairs(few.where("comp <> top"), _second(few.drop("top")), settings.percent, apart)
+        more = (more if number else more.unionByName(pairs)).distinct()
         found = verify.links(verify.near(more))
         links = found if links is None else links.unionByName(found)
+        if last:
+            many = left.where(~F.col("few") & (F.col("doc") != F.col("pivot")))
+            found = verify.rest(many.select("pivot", "doc").distinct())
+            links = links.unionByName(found.where("key is null").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
+            shared = found.where("key is not null").select("key", "doc", "place")
         labels = components(links)
-        if every:
-            break
-    return labels
+        number += 1
 
 
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``row, id, n, component`` for every row of ``docs``; ``row`` is a hash of id and text."""
     found = stage(_members(docs, id, text, settings), "ngram-members")
-    counts = found.where("kind = 1").groupBy("one").agg(F.sum("n").alias("n")).toArrow()
-    rank = np.zeros(1 << settings.rarity_bits, np.int64)
-    rank[counts["one"].to_numpy()] = counts["n"].to_numpy()
+    rank = _rarity(found.where("kind = 1").select("one", "profile"), settings.rarity_bits)
     # Whole-number ids that name one text each are used as they are, else a hash of id and text.
     members = found.where("kind = 0").drop("kind")
     whole = isinstance(members.schema["id"].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
@@ -427,7 +523,8 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Sett
     classes = stage(classes.select("one", "two", "first.doc", "first.row", "n", "profile", "id"), "ngram-classes")
 
     key = F.col(id) if whole else row_key(id, text)
-    tokens = _prefixes(docs, key.cast("long"), text, docs.sparkSession.sparkContext.broadcast(rank), settings)
+    ranks = docs.sparkSession.sparkContext.broadcast(rank)
+    tokens = _prefixes(docs, key.cast("long"), text, ranks, settings)
     found = stage(_candidates(tokens, settings.percent), "ngram-candidates")
     named = members.where("n > 0").select("doc", "one", "two").distinct()
     named = named.join(classes.select("one", "two", F.col("doc").alias("class")), ["one", "two"])
@@ -440,9 +537,8 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Sett
     ).distinct()
     many = found.where("key is not null").join(named, "doc").select("key", F.col("class").alias("doc"), "place").distinct()
     many = stage(many, "shared-ngrams")
-    ngrams = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    verify = _Verifier(docs, id, text, classes, repeated > 0, settings)
-    labels = _components(pairs, many, verify, settings.pairs_per_ngram * ngrams, settings)
+    verify = _Verifier(docs, id, text, classes, repeated > 0, ranks, settings)
+    labels = _components(pairs, many, verify, settings)
 
     rooted = classes.select("one", "two", "id", F.col("doc").alias("node"))
     rooted = rooted.join(labels, "node", "left")
