@@ -327,6 +327,7 @@ class _Verifier:
     def __init__(self, docs: DataFrame, id: str, text: str, classes: DataFrame, repeated: bool, ranks, settings: Settings):
         self.docs, self.id, self.text, self.settings = docs, id, text, settings
         self.classes, self.repeated, self.ranks, self.sets = classes, repeated, ranks, None
+        self.complete = False
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs that pass the length and the suffix filter."""
@@ -376,14 +377,21 @@ class _Verifier:
         got = stage(got.dropDuplicates(["row"]) if self.repeated else got, "ngram-sets")
         self.sets = got if self.sets is None else self.sets.unionByName(got)
 
+    def fetch_all(self, docs: DataFrame) -> None:
+        """Fetches the sets of ``doc``, after which ``links`` and ``rest`` ask for no others."""
+        rows = stage(docs.distinct().join(self.classes.select("doc", "row"), "doc"), "open-documents")
+        self._fetch(rows.select(F.col("row").alias("a"), F.col("row").alias("b")))
+        self.complete = True
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The links among ``pairs``."""
         rows = self.classes.select("doc", "row")
         for side in "ab":
             own = rows.select(F.col("doc").alias(f"doc_{side}"), F.col("row").alias(side))
             pairs = pairs.withColumnRenamed(side, f"doc_{side}").join(own, f"doc_{side}")
-        pairs = stage(pairs, "candidates")
-        self._fetch(pairs)
+        if not self.complete:
+            pairs = stage(pairs, "candidates")
+            self._fetch(pairs)
         if self.sets is None:
             return pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
         for side in "ab":
@@ -406,19 +414,21 @@ class _Verifier:
 
 
     def rest(self, pairs: DataFrame) -> DataFrame:
-        """Sets against their pivots, of distinct pairs ``pivot, doc``: a row with a null ``key`` for a link, and a row
-        ``key, doc, place`` for each of the first n-grams that the pivot lacks."""
+        """Sets against their pivots, of distinct pairs ``pivot, doc, apart``: a row with a null ``key`` for a link of two that
+        are ``apart``, and a row ``key, doc, place`` for each of the first n-grams that the pivot lacks."""
         rows = self.classes.select("doc", "row")
         of_pivot = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
         of_pivot = of_pivot.join(rows.select(F.col("doc").alias("pivot"), F.col("row").alias("b")), "pivot")
-        pairs = stage(pairs.join(rows.withColumnRenamed("row", "a"), "doc").join(of_pivot, "pivot"), "pivots")
-        self._fetch(pairs)
+        pairs = pairs.join(rows.withColumnRenamed("row", "a"), "doc").join(of_pivot, "pivot")
+        if not self.complete:
+            pairs = stage(pairs, "pivots")
+            self._fetch(pairs)
         if self.sets is None:
             return pairs.select(F.lit(None).cast("long").alias("key"), "doc", "pivot", F.lit(0).cast("long").alias("place"))
         salted = pairs.select("pivot", "b", "salts").distinct().join(self.sets.withColumnsRenamed({"row": "b", "set": "s_b"}), "b")
         salted = salted.select("pivot", "s_b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         own = pairs.withColumn("salt", F.pmod(F.xxhash64("doc"), "salts").cast("int"))
-        own = own.select("a", "doc", "pivot", "salt").join(self.sets.withColumnsRenamed({"row": "a", "set": "s_a"}), "a")
+        own = own.select("a", "doc", "pivot", "salt", "apart").join(self.sets.withColumnsRenamed({"row": "a", "set": "s_a"}), "a")
         percent, ranks = self.settings.percent, self.ranks
         mask = np.uint64((1 << self.settings.rarity_bits) - 1)
 
@@ -426,7 +436,7 @@ class _Verifier:
             rank = ranks.value
             for batch in batches:
                 columns = [[np.zeros(0, np.int64)] for _ in range(4)]
-                for doc, pivot, one, two in zip(*(batch.column(c).to_pylist() for c in ("doc", "pivot", "s_a", "s_b"))):
+                for doc, pivot, apart, one, two in zip(*(batch.column(c).to_pylist() for c in ("doc", "pivot", "apart", "s_a", "s_b"))):
                     one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
                     at = np.searchsorted(two, one)
                     at[at == len(two)] = 0
@@ -438,7 +448,7 @@ class _Verifier:
                         short = -(-percent * (n + max(m, _needed(percent, n))) // (100 + percent)) - same
                     first = np.argsort(rank[(other & mask).astype(np.int64)], kind="stable")[: max(0, len(other) - short + 1)]
                     key = mix(other[first] + mix(np.array([pivot]).view(np.uint64))).view(np.int64)
-                    key = np.concatenate([key, np.zeros(int(alike), np.int64)])
+                    key = np.concatenate([key, np.zeros(int(alike and apart), np.int64)])
                     place = np.full(len(key), n << 32)
                     place[len(first) :] = -1
                     for column, values in zip(columns, (key, np.full(len(key), doc), np.full(len(key), pivot), place)):
@@ -448,7 +458,7 @@ class _Verifier:
                     [pa.array(key, mask=place < 0), pa.array(doc), pa.array(pivot), pa.array(place)], names=["key", "doc", "pivot", "place"]
                 )
 
-        met = own.join(salted, ["pivot", "salt"]).select("doc", "pivot", "s_a", "s_b")
+        met = own.join(salted, ["pivot", "salt"]).select("doc", "pivot", "apart", "s_a", "s_b")
         return stage(met.mapInArrow(run, "key long, doc long, pivot long, place long"), "rest-ngrams")
 
 
@@ -460,16 +470,31 @@ def _named(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(own, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
 
 
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` after ``links`` between components: their components are those of the components' names."""
+    if labels is None:
+        return components(links)
+    ends = links
+    for side in "ab":
+        own = labels.select(F.col("node").alias(side), F.col("component").alias(f"comp_{side}"))
+        ends = ends.join(own, side, "left").withColumn(f"comp_{side}", F.coalesce(f"comp_{side}", side))
+    new = components(ends, "comp_a", "comp_b").select(F.col("node").alias("component"), F.col("component").alias("low"))
+    moved = labels.join(new, "component", "left").select("node", F.coalesce("low", "component").alias("component"))
+    # A document without links so far is a component of its own, which only ``new`` names.
+    alone = new.join(labels.select(F.col("node").alias("component")), "component", "left_anti")
+    return stage(moved.unionByName(alone.select(F.col("component").alias("node"), F.col("low").alias("component"))), "labels")
+
+
 def _components(pairs: DataFrame, shared: DataFrame, verify: _Verifier, settings: Settings) -> DataFrame:
     """``node, component`` of all documents that link with another one."""
-    links = labels = None
+    labels = None
     number = 0
     while True:
         now = _named(shared, labels)
         order = F.col("doc") if number == 0 else F.xxhash64("key", "doc", F.lit(number))
         parts = now.groupBy("key", "comp").agg(
             F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "doc", "place", "comp")).alias("one"),
-            F.min(F.struct(F.shiftright("place", 32).alias("n"), "doc")).alias("least"),
+            F.min(F.struct(F.shiftright("place", 32).alias("n"), "doc", "comp")).alias("least"),
         )
         groups = parts.groupBy("key").agg(
             F.count("*").alias("comps"), F.sum("n").alias("met"), F.max(F.struct("n", "comp")).alias("top"),
@@ -478,6 +503,7 @@ def _components(pairs: DataFrame, shared: DataFrame, verify: _Verifier, settings
         open_ = groups.where("comps > 1").select(
             "key", (F.col("met") - F.col("top.n") <= SMALL).alias("few"), F.col("top.comp").alias("top"), F.col("one.doc").alias("doc_b"),
             F.col("one.place").alias("place_b"), F.col("one.comp").alias("comp_b"), F.col("least.doc").alias("pivot"),
+            F.col("least.comp").alias("comp_pivot"),
         )
         left = stage(now.join(open_, "key"), "open-ngrams")
         if number and left.isEmpty():
@@ -494,15 +520,19 @@ def _components(pairs: DataFrame, shared: DataFrame, verify: _Verifier, settings
             few = left.where("few").select("key", "doc", "place", "comp", "top")
             apart = (F.col("comp") != F.col("comp_b")) & ((F.col("comp_b") == F.col("top")) | (F.col("doc") < F.col("doc_b")))
             more = _pairs(few.where("comp <> top"), _second(few.drop("top")), settings.percent, apart)
-        more = (more if number else more.unionByName(pairs)).distinct()
-        found = verify.links(verify.near(more))
-        links = found if links is None else links.unionByName(found)
+            # The documents of later levels are among those of this one.
+            if number and not verify.complete:
+                verify.fetch_all(left.select("doc"))
+        found = verify.links(verify.near((more if number else more.unionByName(pairs)).distinct()))
         if last:
             many = left.where(~F.col("few") & (F.col("doc") != F.col("pivot")))
-            found = verify.rest(many.select("pivot", "doc").distinct())
-            links = links.unionByName(found.where("key is null").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
-            shared = found.where("key is not null").select("key", "doc", "place")
-        labels = components(links)
+            met = many.select("pivot", "doc", (F.col("comp") != F.col("comp_pivot")).alias("apart")).distinct()
+            rest = verify.rest(met)
+            found = found.unionByName(rest.where("key is null").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
+            shared = rest.where("key is not null").select("key", "doc", "place")
+        # All links found join two components; without any, the components stand.
+        if labels is None or not found.isEmpty():
+            labels = _merged(labels, found)
         number += 1
 
 
