@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from hearthline.llm.components import components
-from hearthline.llm.seeds import BUFFER_ROWS, MARK, SHARED, SINGLE, local_groups, spread_by_key, whole_groups
+from hearthline.llm.seeds import MARK, SHARED, SINGLE, local_groups, spread_by_key, whole_groups
 from hearthline.llm.textwords import SPACED, chunks, grams, mix, words
 from hearthline.sources.stages import stage
 
@@ -59,6 +59,8 @@ FEW = 4  # rows of one n-gram that a task sends as they are
 SMALL = 8  # documents of an n-gram up to which all pairs are taken at once
 KEY_BITS = 48  # of an n-gram's hash; a clash costs a candidate and changes no result
 NEED_BITS = 21  # slots of the filter for wanted texts
+HELD_ROWS = 1_000_000  # n-grams or pairs that a task holds at once
+SLICE_ROWS = 256  # rows with sets that a task works on together
 SALTED = 4096  # documents of a pivot that a task compares with it
 
 
@@ -108,6 +110,18 @@ def least_difference(one: bytes, two: bytes) -> int:
     return int(np.abs(a.reshape(n, -1).sum(axis=1) - b.reshape(n, -1).sum(axis=1)).sum())
 
 
+def _slices(batch: pa.RecordBatch):
+    """Parts of a batch of few rows, so that what is made of them is small."""
+    for at in range(0, batch.num_rows, SLICE_ROWS):
+        yield batch.slice(at, SLICE_ROWS)
+
+
+def _arrays(column):
+    """The sets of a binary column, one at a time and not copied."""
+    for value in column:
+        yield np.frombuffer(value.as_buffer(), np.uint64)
+
+
 def _digests(sets):
     """128-bit digests of non-empty sets, as two longs each."""
     return [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64).tolist() for s in sets]
@@ -127,7 +141,8 @@ def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
 
     def add(counts, held):
         low = (np.concatenate(held) & np.uint64(buckets - 1)).astype(np.int64)
-        counts += np.bincount(low, minlength=buckets).astype(np.uint32)
+        at, times = np.unique(low, return_counts=True)
+        counts[at] += times.astype(np.uint32)
 
     def run(batches):
         counts, own, seen, held, waiting = np.zeros(buckets, np.uint32), None, set(), [], 0
@@ -143,7 +158,7 @@ def _members(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
                     seen.add(tuple(d))
                     held.append(s)
                     waiting += len(s)
-                if waiting >= BUFFER_ROWS:
+                if waiting >= HELD_ROWS:
                     add(counts, held)
                     held, waiting = [], 0
             yield pa.RecordBatch.from_arrays(
@@ -229,7 +244,7 @@ def _prefixes(docs: DataFrame, doc: Column, text: str, ranks, settings: Settings
                 first = np.argsort(often, kind="stable")[:prefix]  # s is sorted: ties by hash
                 parts.append((s[first] & np.uint64((1 << KEY_BITS) - 1), own, n))
                 held += prefix
-                if held >= BUFFER_ROWS:
+                if held >= HELD_ROWS:
                     yield grouped(*_columns(parts))
                     held, parts = 0, []
         if parts:
@@ -292,7 +307,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
                         a, b = doc[at + i][fits], doc[at + j][fits]
                         parts.append((np.minimum(a, b), np.maximum(a, b)))
                         held += len(a)
-            if held > BUFFER_ROWS:
+            if held > HELD_ROWS:
                 yield pairs(parts)
                 parts, held = [], 0
         if parts:
@@ -367,9 +382,9 @@ class _Verifier:
         def run(batches):
             wanted = shared.value
             for batch in batches:
-                batch = batch.filter(pa.array(wanted[batch.column(0).to_numpy() % slots]))
-                sets = [s.tobytes() for s in ngram_sets(batch.column(1), n)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["row", "set"])
+                for part in _slices(batch.filter(pa.array(wanted[batch.column(0).to_numpy() % slots]))):
+                    sets = [s.tobytes() for s in ngram_sets(part.column(1), n)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["row", "set"])
 
         texts = self.docs.select(row_key(self.id, self.text).alias("row"), F.col(self.text).alias("__text"))
         got = texts.mapInArrow(run, "row long, set binary").join(need, "row", "left_semi")
@@ -401,8 +416,7 @@ class _Verifier:
         def run(batches):
             for batch in batches:
                 keep = []
-                for one, two in zip(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist()):
-                    one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                for one, two in zip(_arrays(batch.column("s_a")), _arrays(batch.column("s_b"))):
                     at = np.searchsorted(one, two)
                     at[at == len(one)] = 0
                     same = int((one[at] == two).sum())
@@ -434,10 +448,10 @@ class _Verifier:
 
         def run(batches):
             rank = ranks.value
-            for batch in batches:
+            for part in (part for batch in batches for part in _slices(batch)):
                 columns = [[np.zeros(0, np.int64)] for _ in range(4)]
-                for doc, pivot, apart, one, two in zip(*(batch.column(c).to_pylist() for c in ("doc", "pivot", "apart", "s_a", "s_b"))):
-                    one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                named = (part.column(c).to_pylist() for c in ("doc", "pivot", "apart"))
+                for doc, pivot, apart, one, two in zip(*named, _arrays(part.column("s_a")), _arrays(part.column("s_b"))):
                     at = np.searchsorted(two, one)
                     at[at == len(two)] = 0
                     other = one[two[at] != one]
