@@ -93,7 +93,7 @@ def ngram_sets(column, n: int):
 
 
 def row_key(id: str, text: str) -> Column:
-    return F.xxhash64(F.col(id), F.col(text))
+    return F.xxhash64(F.col(id), F.col(id).isNull(), F.col(text))
 
 
 def part_sizes(s: np.ndarray) -> np.ndarray:
@@ -601,10 +601,11 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", settings:
     """
     joined = join(docs, id, text, settings)
     first = joined.where("n > 0").groupBy("component").agg(F.min(F.struct("id", "row")).alias("first"))
-    kept = first.select(F.col("first.row").alias("__row")).unionByName(joined.where("n = 0").select(F.col("row").alias("__row")))
-    kept = stage(kept.distinct(), "kept-rows")
-    out = docs.withColumn("__row", row_key(id, text)).join(kept, "__row", "left_semi")
+    kept = first.select(F.col("first.row").alias("__row"), F.lit(False).alias("__bare"))
+    bare = joined.where("n = 0").select(F.col("row").alias("__row"), F.lit(True).alias("__bare"))
+    kept = stage(kept.unionByName(bare).distinct(), "kept-rows")
+    out = docs.withColumn("__row", row_key(id, text)).join(kept, "__row")
     again = joined.where("n > 0").groupBy("row").count().where("count > 1")
     if not again.isEmpty():
-        out = out.dropDuplicates(["__row"])
-    return out.drop("__row")
+        out = out.where(~F.col("__bare")).dropDuplicates(["__row"]).unionByName(out.where("__bare"))
+    return out.drop("__row", "__bare")
