@@ -6,7 +6,7 @@ import datetime
 
 import pytest
 
-from checks import inputs
+from checks import inputs, queries
 
 
 @pytest.fixture
@@ -37,3 +37,21 @@ def test_listings_are_those_of_the_sql(spark, given):
     made = inputs.listings(spark, given)
     assert made.columns == told.columns and made.count() == told.count()
     assert made.exceptAll(told).isEmpty()
+
+
+def test_line_breaks_are_written_in_more_files_for_more_rows(spark, given, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 100)
+    written = []
+    plain = queries.src.write_table
+
+    def write_table(df, path, **options):
+        written.append(df.rdd.getNumPartitions())
+        plain(df, path, **options)
+
+    monkeypatch.setattr(queries.src, "write_table", write_table)
+    back = queries.listings_csv_line_breaks(spark, given)
+    wanted = inputs.listings(spark, given)
+    assert written == [4]
+    assert back.count() == wanted.count() > 300
+    cells = ("epc", "availability")
+    assert back.select("property_id", *cells).exceptAll(wanted.select("property_id", *cells)).isEmpty()
