@@ -60,7 +60,7 @@ def read_listings_csv(
 
     Spark splits large files. A quoted cell with a line break then leaves a row without its last cells,
     which is an error, not a row of nulls; pass ``multi_line=True`` for such files: they are split too, and
-    records are put together again over lines and blocks, for which the files are read three times.
+    records are put together again in the tasks that read them, for which the files are read three times.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
     if multi_line:
